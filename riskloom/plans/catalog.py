@@ -97,3 +97,231 @@ def assemble_train(spark: SparkSession, sf_dir: str) -> DataFrame:
 def assemble_test(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = td.TestTables(spark, sf_dir)
     return round_doubles(A.build_master_dataset(raw_tables(t), split="test"))
+
+
+# ---- expressions, windows, trend --------------------------------------------
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from ..functions import expr as X  # noqa: E402
+from ..operators import checks as C  # noqa: E402
+from ..operators import drift as DR  # noqa: E402
+from ..operators import ordered as OR  # noqa: E402
+from ..operators import profile as P  # noqa: E402
+from ..operators import registry as R  # noqa: E402
+from ..operators import windows as W  # noqa: E402
+from ..sources import files as FS  # noqa: E402
+from ..session import ensure_checkpoint_dir  # noqa: E402
+
+
+@register("safe_ratio", O.q_safe_ratio)
+def q_safe_ratio(spark, sf_dir):
+    ip = td.installments_payments(td.TestTables(spark, sf_dir))
+    return round_doubles(ip.select("SK_ID_PREV", "NUM_INSTALMENT_NUMBER", "AMT_PAYMENT", "AMT_INSTALMENT",
+                                   X.safe_ratio("AMT_PAYMENT", "AMT_INSTALMENT").alias("payment_ratio")))
+
+
+@register("clip_negative", O.q_clip_negative)
+def q_clip_negative(spark, sf_dir):
+    app = td.application(td.TestTables(spark, sf_dir))
+    return round_doubles(app.select("SK_ID_CURR", "AMT_INCOME_TOTAL", X.clip_negative("AMT_INCOME_TOTAL").alias("income_clipped")))
+
+
+@register("status_flags", O.q_status_flags)
+def q_status_flags(spark, sf_dir):
+    bb = td.bureau_balance(td.TestTables(spark, sf_dir))
+    return bb.select(
+        "SK_ID_BUREAU", "MONTHS_BALANCE", "STATUS",
+        X.flag_in("STATUS", S.DELINQUENT_STATUSES).alias("is_delinquent"),
+        X.flag_eq("STATUS", S.CLOSED_STATUS).alias("is_closed"),
+        X.flag_eq("STATUS", S.UNKNOWN_STATUS).alias("is_unknown"),
+    )
+
+
+@register("overdue_flags", O.q_overdue_flags)
+def q_overdue_flags(spark, sf_dir):
+    b = td.bureau(td.TestTables(spark, sf_dir))
+    return b.select(
+        "SK_ID_BUREAU",
+        X.flag_gt("CREDIT_DAY_OVERDUE", 0).alias("bureau_has_overdue"),
+        X.flag_eq("CREDIT_ACTIVE", "Active").alias("bureau_is_active"),
+        X.abs_recency("DAYS_CREDIT").alias("bureau_recency_days"),
+    )
+
+
+@register("last_status_per_key", O.q_last_status)
+def q_last_status(spark, sf_dir):
+    return W.last_status_per_key(td.bureau_balance(td.TestTables(spark, sf_dir)))
+
+
+@register("row_rank", O.q_row_rank)
+def q_row_rank(spark, sf_dir):
+    b = td.bureau(td.TestTables(spark, sf_dir)).select("SK_ID_CURR", "SK_ID_BUREAU", "DAYS_CREDIT")
+    return OR.row_rank(b, ["SK_ID_CURR"], "DAYS_CREDIT", tie_break=["SK_ID_BUREAU"])
+
+
+@register("linear_trend", O.q_linear_trend)
+def q_linear_trend(spark, sf_dir):
+    cc = td.credit_card_balance(td.TestTables(spark, sf_dir))
+    return round_doubles(W.linear_trend(cc, ["SK_ID_CURR", "SK_ID_PREV"], "MONTHS_BALANCE", "AMT_BALANCE", "cc_balance_trend"))
+
+
+# ---- checks -----------------------------------------------------------------
+
+
+@register("duplicate_key_groups", O.q_duplicate_key_groups)
+def q_duplicate_key_groups(spark, sf_dir):
+    bb = td.bureau_balance(td.TestTables(spark, sf_dir))
+    return C.duplicate_key_groups(bb, ["SK_ID_BUREAU", "MONTHS_BALANCE"])
+
+
+@register("join_cardinality", O.q_join_cardinality)
+def q_join_cardinality(spark, sf_dir):
+    t = td.TestTables(spark, sf_dir)
+    return C.join_cardinality(td.bureau_balance(t), td.bureau(t), ["SK_ID_BUREAU"])
+
+
+@register("safe_left_join", O.q_safe_left_join)
+def q_safe_left_join(spark, sf_dir):
+    t = td.TestTables(spark, sf_dir)
+    bb = S.bureau_balance_features(td.bureau_balance(t))
+    feats = S.bureau_features(td.bureau(t), bb)
+    return round_doubles(C.safe_left_join(td.application(t), feats, ["SK_ID_CURR"], "bureau_features"))
+
+
+@register("drop_leaky_columns", O.q_drop_leaky)
+def q_drop_leaky(spark, sf_dir):
+    return round_doubles(S.drop_leaky_columns(td.previous_application(td.TestTables(spark, sf_dir))))
+
+
+@register("row_counts", O.q_row_counts)
+def q_row_counts(spark, sf_dir):
+    return A.cardinality_report(raw_tables(td.TestTables(spark, sf_dir)))
+
+
+# ---- profile, registry -------------------------------------------------------
+
+
+def _assembled(spark, sf_dir):
+    return round_doubles(A.build_master_dataset(raw_tables(td.TestTables(spark, sf_dir)), check_master=False))
+
+
+@register("profile_exact", O.q_profile_exact)
+def q_profile_exact(spark, sf_dir):
+    return round_doubles(P.basic_profile(_assembled(spark, sf_dir), exact=True, by=["SPLIT"]))
+
+
+@register("profile_approx")
+def q_profile_approx(spark, sf_dir):
+    return round_doubles(P.basic_profile(_assembled(spark, sf_dir), exact=False, by=["SPLIT"]))
+
+
+@register("high_null_columns", O.q_high_null_columns)
+def q_high_null_columns(spark, sf_dir):
+    return round_doubles(P.high_null_columns(_assembled(spark, sf_dir), 50.0))
+
+
+@register("null_report_top_n", O.q_null_report_top_n)
+def q_null_report_top_n(spark, sf_dir):
+    return round_doubles(P.null_report_top_n(_assembled(spark, sf_dir), 200))
+
+
+def _registry_cov(spark, sf_dir):
+    t = td.TestTables(spark, sf_dir)
+    raw = raw_tables(t)
+    bb = S.bureau_balance_features(raw.bureau_balance)
+    master = A.build_master_dataset(raw, check_master=False)
+    return R.registry_with_coverage(R.registry_to_dataframe(spark), {"SK_ID_BUREAU": bb, "SK_ID_CURR": master})
+
+
+@register("registry_table", O.q_registry_table)
+def q_registry_table(spark, sf_dir):
+    return _registry_cov(spark, sf_dir)
+
+
+@register("registry_coverage", O.q_registry_coverage)
+def q_registry_coverage(spark, sf_dir):
+    cov = _registry_cov(spark, sf_dir)
+    return cov.groupBy("source_table").agg(
+        F.count(F.lit(1)).alias("n_features"),
+        F.count_if(F.col("present")).alias("n_present"),
+        F.min("non_null_rows").alias("min_non_null_rows"),
+    )
+
+
+# ---- drift -------------------------------------------------------------------
+
+
+def _drift_sides(spark, sf_dir):
+    t = td.TestTables(spark, sf_dir)
+    return td.drift_reference(t), td.drift_target(t)
+
+
+@register("quantile_edges", O.q_quantile_edges)
+def q_quantile_edges(spark, sf_dir):
+    ref, tgt = _drift_sides(spark, sf_dir)
+    return round_doubles(DR.quantile_edges(ref, DR.drift_candidates(ref, tgt), relative_error=0.0))
+
+
+@register("psi_buckets", O.q_psi_buckets)
+def q_psi_buckets(spark, sf_dir):
+    ref, tgt = _drift_sides(spark, sf_dir)
+    return round_doubles(DR.psi_buckets(ref, tgt, relative_error=0.0))
+
+
+@register("psi_drift", O.q_psi_drift)
+def q_psi_drift(spark, sf_dir):
+    ref, tgt = _drift_sides(spark, sf_dir)
+    return round_doubles(DR.psi_report(ref, tgt, relative_error=0.0))
+
+
+@register("psi_status", O.q_psi_status)
+def q_psi_status(spark, sf_dir):
+    ref, tgt = _drift_sides(spark, sf_dir)
+    return round_doubles(DR.psi_status(DR.psi_report(ref, tgt, relative_error=0.0)))
+
+
+@register("psi_drift_approx")
+def q_psi_drift_approx(spark, sf_dir):
+    ref, tgt = _drift_sides(spark, sf_dir)
+    return round_doubles(DR.psi_report(ref, tgt))
+
+
+# ---- sources and sinks ---------------------------------------------------------
+
+
+def _scratch(spark, name):
+    import uuid
+
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/riskloom-scratch/{name}-{uuid.uuid4().hex}"
+
+
+@register("scan_csv_roundtrip", O.q_scan_csv_roundtrip)
+def q_scan_csv_roundtrip(spark, sf_dir):
+    b = td.bureau(td.TestTables(spark, sf_dir))
+    path = _scratch(spark, "bureau-csv")
+    b.write.mode("overwrite").option("header", True).csv(path)
+    return round_doubles(FS.read_csv_table(spark, path))
+
+
+@register("csv_parse_loss", O.q_csv_parse_loss)
+def q_csv_parse_loss(spark, sf_dir):
+    app = td.application(td.TestTables(spark, sf_dir))
+    text = app.select(
+        F.col("SK_ID_CURR").cast("string").alias("SK_ID_CURR"),
+        F.col("TARGET").cast("string").alias("TARGET"),
+        F.format_string("%.1f", F.col("REGION_ID").cast("double")).alias("DAYS_REGION"),
+        F.when(F.col("TARGET") == 1, "Y").otherwise("N").alias("FLAG_NEGATIVE_BALANCE"),
+        F.col("NAME_SEGMENT"),
+    )
+    path = _scratch(spark, "parse-loss-csv")
+    text.write.mode("overwrite").option("header", True).csv(path)
+    return FS.parse_loss(FS.read_csv_raw(spark, path))
+
+
+@register("sink_parquet_roundtrip", O.q_sink_parquet_roundtrip)
+def q_sink_parquet_roundtrip(spark, sf_dir):
+    b = td.bureau(td.TestTables(spark, sf_dir))
+    path = _scratch(spark, "bureau-parquet")
+    FS.write_parquet(b, path, partition_by=["CREDIT_TYPE"], repartition_by=["SK_ID_CURR"], max_records_per_file=250_000)
+    return round_doubles(spark.read.parquet(path).select(*b.columns))

@@ -341,3 +341,274 @@ def with_assembled(extra: list[tuple[str, str]], final_sql: str) -> str:
 def with_adapters(views: list[str], extra: list[tuple[str, str]], final_sql: str) -> str:
     """Query over adapter views plus extra CTEs."""
     return with_views(final_sql, *views, extra=extra)
+
+
+# --------------------------------------------------------------------------
+# Expressions, windows, trend, checks
+# --------------------------------------------------------------------------
+
+def q_safe_ratio() -> str:
+    body = """SELECT SK_ID_PREV, NUM_INSTALMENT_NUMBER, AMT_PAYMENT, AMT_INSTALMENT,
+       CASE WHEN AMT_INSTALMENT IS NULL OR AMT_INSTALMENT = 0 THEN NULL ELSE AMT_PAYMENT / AMT_INSTALMENT END AS payment_ratio
+FROM v_installments"""
+    cols = [("SK_ID_PREV", "l"), ("NUM_INSTALMENT_NUMBER", "i"), ("AMT_PAYMENT", "d"), ("AMT_INSTALMENT", "d"), ("payment_ratio", "d")]
+    return with_views(_final(cols, "r"), "v_installments", extra=[("r", body)])
+
+
+def q_clip_negative() -> str:
+    body = """SELECT SK_ID_CURR, AMT_INCOME_TOTAL,
+       CASE WHEN AMT_INCOME_TOTAL IS NULL THEN NULL WHEN AMT_INCOME_TOTAL < 0 THEN 0.0 ELSE AMT_INCOME_TOTAL END AS income_clipped
+FROM v_application"""
+    return with_views(_final([("SK_ID_CURR", "l"), ("AMT_INCOME_TOTAL", "d"), ("income_clipped", "d")], "r"), "v_application", extra=[("r", body)])
+
+
+def q_status_flags() -> str:
+    return with_views("""SELECT SK_ID_BUREAU, MONTHS_BALANCE, STATUS,
+       CASE WHEN STATUS IN ('1','2','3','4','5') THEN 1 ELSE 0 END AS is_delinquent,
+       CASE WHEN STATUS = 'C' THEN 1 ELSE 0 END AS is_closed,
+       CASE WHEN STATUS = 'X' THEN 1 ELSE 0 END AS is_unknown
+FROM v_bureau_balance""", "v_bureau_balance")
+
+
+def q_overdue_flags() -> str:
+    return with_views("""SELECT SK_ID_BUREAU,
+       CASE WHEN CREDIT_DAY_OVERDUE > 0 THEN 1 ELSE 0 END AS bureau_has_overdue,
+       CASE WHEN CREDIT_ACTIVE = 'Active' THEN 1 ELSE 0 END AS bureau_is_active,
+       abs(DAYS_CREDIT) AS bureau_recency_days
+FROM v_bureau""", "v_bureau")
+
+
+def q_last_status() -> str:
+    return with_views("""SELECT SK_ID_BUREAU, STATUS AS bb_last_status FROM (
+  SELECT SK_ID_BUREAU, STATUS, row_number() OVER (PARTITION BY SK_ID_BUREAU
+         ORDER BY MONTHS_BALANCE DESC NULLS LAST, STATUS DESC NULLS LAST) AS rn
+  FROM v_bureau_balance) WHERE rn = 1""", "v_bureau_balance")
+
+
+def q_row_rank() -> str:
+    return with_views("""SELECT SK_ID_CURR, SK_ID_BUREAU, DAYS_CREDIT,
+       CAST(row_number() OVER (PARTITION BY SK_ID_CURR ORDER BY DAYS_CREDIT, SK_ID_BUREAU) AS BIGINT) AS row_rank
+FROM v_bureau""", "v_bureau")
+
+
+def q_linear_trend() -> str:
+    body = """SELECT SK_ID_CURR, SK_ID_PREV,
+       CASE WHEN regr_count(AMT_BALANCE, CAST(MONTHS_BALANCE AS DOUBLE)) = 0 THEN NULL
+            WHEN regr_sxx(AMT_BALANCE, CAST(MONTHS_BALANCE AS DOUBLE)) = 0 THEN 0.0
+            ELSE regr_slope(AMT_BALANCE, CAST(MONTHS_BALANCE AS DOUBLE)) END AS cc_balance_trend
+FROM v_credit_card GROUP BY SK_ID_CURR, SK_ID_PREV"""
+    return with_views(_final([("SK_ID_CURR", "l"), ("SK_ID_PREV", "l"), ("cc_balance_trend", "d")], "r"), "v_credit_card", extra=[("r", body)])
+
+
+def q_duplicate_key_groups() -> str:
+    return with_views("""SELECT SK_ID_BUREAU, MONTHS_BALANCE, count(*) AS n_rows
+FROM v_bureau_balance GROUP BY SK_ID_BUREAU, MONTHS_BALANCE HAVING count(*) > 1""", "v_bureau_balance")
+
+
+def q_join_cardinality() -> str:
+    return with_views("""SELECT l.d AS left_duplicates, r.d AS right_duplicates, (l.d = 0 AND r.d = 0) AS passed
+FROM (SELECT count(*) AS d FROM (SELECT SK_ID_BUREAU FROM v_bureau_balance GROUP BY 1 HAVING count(*) > 1)) l,
+     (SELECT count(*) AS d FROM (SELECT SK_ID_BUREAU FROM v_bureau GROUP BY 1 HAVING count(*) > 1)) r""",
+                      "v_bureau_balance", "v_bureau")
+
+
+def q_safe_left_join() -> str:
+    cols = APP_COLS + BUREAU_COLS[1:]
+    body = "SELECT a.*, b.* EXCLUDE (SK_ID_CURR) FROM v_application a LEFT JOIN f_bureau b ON a.SK_ID_CURR = b.SK_ID_CURR"
+    return with_views(_final(cols, "r"), "v_application", "v_bureau_balance", "v_bureau",
+                      extra=[("f_bb", BB_SQL), ("f_bureau", BUREAU_SQL), ("r", body)])
+
+
+PREV_RAW_COLS = [
+    ("SK_ID_CURR", "l"), ("SK_ID_PREV", "l"), ("NAME_CONTRACT_STATUS", "s"), ("DAYS_DECISION", "i"),
+    ("AMT_APPLICATION", "d"), ("AMT_CREDIT", "d"), ("AMT_DOWN_PAYMENT", "d"), ("CNT_PAYMENT", "i"), ("AMT_ANNUITY", "d"),
+    ("NFLAG_INSURED_ON_APPROVAL", "i"), ("NAME_CONTRACT_TYPE", "s"), ("NAME_CLIENT_TYPE", "s"), ("PRODUCT_COMBINATION", "s"),
+]
+
+
+def q_drop_leaky() -> str:
+    return with_views(_final(PREV_RAW_COLS, "v_previous"), "v_previous")
+
+
+def q_row_counts() -> str:
+    return with_assembled([], """SELECT 'application_' || a.SPLIT AS table_name, a.n AS rows_before, m.n AS rows_after, a.n = m.n AS preserved
+FROM (SELECT SPLIT, count(*) AS n FROM v_application GROUP BY SPLIT) a
+JOIN (SELECT SPLIT, count(*) AS n FROM f_master GROUP BY SPLIT) m ON a.SPLIT = m.SPLIT""")
+
+
+# --------------------------------------------------------------------------
+# Profile and registry over the (canonically rounded) assembled table
+# --------------------------------------------------------------------------
+
+_TYPE_NAMES = {"l": "LongType()", "i": "IntegerType()", "d": "DoubleType()", "s": "StringType()"}
+
+
+def _rounded_master() -> tuple[str, str]:
+    return ("f_master_r", _final(ASSEMBLED_COLS, "f_master"))
+
+
+def q_profile_exact() -> str:
+    parts = []
+    for name, kind in ASSEMBLED_COLS:
+        if name == "SPLIT":
+            continue
+        parts.append(
+            f"SELECT SPLIT, '{name}' AS feature, count(*) FILTER (WHERE {name} IS NULL) * 100.0 / count(*) AS null_pct, "
+            f"count(DISTINCT {name}) AS approx_cardinality, '{_TYPE_NAMES[kind]}' AS data_type FROM f_master_r GROUP BY SPLIT"
+        )
+    body = "\nUNION ALL\n".join(parts)
+    cols = [("SPLIT", "s"), ("feature", "s"), ("null_pct", "d"), ("approx_cardinality", "l"), ("data_type", "s")]
+    return with_assembled([_rounded_master(), ("prof", body)], _final(cols, "prof"))
+
+
+def _null_pct_sql() -> str:
+    parts = [
+        f"SELECT '{name}' AS feature, count(*) FILTER (WHERE {name} IS NULL) * 100.0 / count(*) AS null_pct FROM f_master_r"
+        for name, _ in ASSEMBLED_COLS
+    ]
+    return "\nUNION ALL\n".join(parts)
+
+
+def q_high_null_columns() -> str:
+    return with_assembled([_rounded_master(), ("np", _null_pct_sql()), ("hn", "SELECT * FROM np WHERE null_pct > 50")],
+                          _final([("feature", "s"), ("null_pct", "d")], "hn"))
+
+
+def q_null_report_top_n() -> str:
+    return with_assembled([_rounded_master(), ("np", _null_pct_sql()), ("top", "SELECT * FROM np ORDER BY null_pct DESC, feature LIMIT 200")],
+                          _final([("feature", "s"), ("null_pct", "d")], "top"))
+
+
+def _registry_values() -> str:
+    from ..operators.registry import FEATURE_SPECS
+
+    def q(s: str) -> str:
+        return "'" + s.replace("'", "''") + "'"
+
+    rows = ",\n  ".join(
+        f"({q(s.feature_name)}, {q(s.source_table)}, {q(s.granularity)}, {q(s.owner)}, {q(s.feature_type)}, "
+        f"{q(s.risk_potential)}, {'TRUE' if s.temporal_safety else 'FALSE'}, {q(s.business_description)})"
+        for s in FEATURE_SPECS
+    )
+    return (f"SELECT * FROM (VALUES\n  {rows}\n) AS t(feature_name, source_table, granularity, owner, feature_type, "
+            "risk_potential, temporal_safety, business_description)")
+
+
+def _registry_cov_sql() -> list[tuple[str, str]]:
+    from ..operators.registry import FEATURE_SPECS
+
+    bb_names = {c for c, _ in BB_COLS}
+    master_names = {c for c, _ in ASSEMBLED_COLS}
+    parts = []
+    for s in FEATURE_SPECS:
+        if s.granularity == "SK_ID_BUREAU" and s.feature_name in bb_names:
+            parts.append(f"SELECT '{s.feature_name}' AS feature_name, 'SK_ID_BUREAU' AS granularity, count({s.feature_name}) AS nn FROM f_bb")
+        elif s.granularity == "SK_ID_CURR" and s.feature_name in master_names:
+            parts.append(f"SELECT '{s.feature_name}' AS feature_name, 'SK_ID_CURR' AS granularity, count({s.feature_name}) AS nn FROM f_master")
+    measured = "\nUNION ALL\n".join(parts)
+    cov = """SELECT r.*, m.nn IS NOT NULL AS present, CAST(m.nn AS BIGINT) AS non_null_rows
+FROM reg r LEFT JOIN measured m ON r.feature_name = m.feature_name AND r.granularity = m.granularity"""
+    return [("reg", _registry_values()), ("measured", measured), ("cov", cov)]
+
+
+def q_registry_table() -> str:
+    return with_assembled(_registry_cov_sql(), "SELECT * FROM cov")
+
+
+def q_registry_coverage() -> str:
+    return with_assembled(_registry_cov_sql(), """SELECT source_table, count(*) AS n_features,
+       count(*) FILTER (WHERE present) AS n_present, min(non_null_rows) AS min_non_null_rows
+FROM cov GROUP BY source_table""")
+
+
+# --------------------------------------------------------------------------
+# Drift (exact quantiles: value of rank max(1, ceil(p * n)) == quantile_disc)
+# --------------------------------------------------------------------------
+
+DRIFT_COLS = ["AMT_QUANTITY", "AMT_EXTENDED_PRICE", "AMT_DISCOUNT", "AMT_TAX", "AMT_ORDER_TOTAL", "DAYS_SHIP",
+              "CNT_LINE_NUMBER", "AMT_PRICE_WITH_GAPS"]
+
+
+def _drift_ctes() -> list[tuple[str, str]]:
+    def long(src: str) -> str:
+        return "\nUNION ALL\n".join(f"SELECT '{c}' AS feature, CAST({c} AS DOUBLE) AS value FROM {src}" for c in DRIFT_COLS)
+
+    ps = [i / 10 for i in range(11)]
+    q = "\nUNION ALL\n".join(
+        f"SELECT feature, {i} AS q_index, CAST({p!r} AS DOUBLE) AS p, quantile_disc(value, {p!r}) AS value "
+        f"FROM ref_long WHERE value IS NOT NULL GROUP BY feature" for i, p in enumerate(ps)
+    )
+    return [
+        ("ref_long", long("v_drift_ref")),
+        ("tgt_long", long("v_drift_tgt")),
+        ("qe", q),
+        ("bounds", "SELECT DISTINCT feature, value AS edge FROM qe"),
+        ("nb", "SELECT feature, count(*) AS n_bounds, min(edge) AS lo, max(edge) AS hi FROM bounds GROUP BY feature"),
+        ("interior", "SELECT b.feature, b.edge FROM bounds b JOIN nb ON b.feature = nb.feature WHERE nb.n_bounds >= 3 AND b.edge > nb.lo AND b.edge < nb.hi"),
+        ("active", "SELECT feature FROM nb WHERE n_bounds >= 3"),
+        ("bucketed", """SELECT side, x.feature,
+       CASE WHEN x.value IS NULL THEN 'missing'
+            ELSE 'b' || CAST((SELECT count(*) FROM interior i WHERE i.feature = x.feature AND i.edge < x.value) AS VARCHAR) END AS bucket
+FROM (SELECT 0 AS side, * FROM ref_long UNION ALL SELECT 1 AS side, * FROM tgt_long) x
+WHERE x.feature IN (SELECT feature FROM active)"""),
+        ("cnt", """SELECT feature, bucket, sum(CASE WHEN side = 0 THEN 1 ELSE 0 END) AS rc, sum(CASE WHEN side = 1 THEN 1 ELSE 0 END) AS tc
+FROM bucketed GROUP BY feature, bucket"""),
+        ("tot", "SELECT feature, sum(rc) AS rt, sum(tc) AS tt FROM cnt GROUP BY feature"),
+        ("terms", """SELECT c.feature, c.bucket,
+       CASE WHEN t.rt > 0 THEN c.rc / t.rt END AS ref_share,
+       CASE WHEN t.tt > 0 THEN c.tc / t.tt END AS tgt_share,
+       CASE WHEN t.rt > 0 AND t.tt > 0 THEN
+         (greatest(c.tc / t.tt, 1e-6) - greatest(c.rc / t.rt, 1e-6)) * ln(greatest(c.tc / t.tt, 1e-6) / greatest(c.rc / t.rt, 1e-6))
+         ELSE 0.0 END AS psi_term
+FROM cnt c JOIN tot t ON c.feature = t.feature"""),
+        ("feats", "\nUNION ALL\n".join(f"SELECT '{c}' AS feature" for c in DRIFT_COLS)),
+        ("psi", "SELECT f.feature, coalesce(sum(t.psi_term), 0.0) AS psi FROM feats f LEFT JOIN terms t ON f.feature = t.feature GROUP BY f.feature"),
+    ]
+
+
+def q_quantile_edges() -> str:
+    cols = [("feature", "s"), ("q_index", "i"), ("p", "d"), ("value", "d")]
+    return with_views(_final(cols, "qe"), "v_drift_ref", "v_drift_tgt", extra=_drift_ctes())
+
+
+def q_psi_buckets() -> str:
+    cols = [("feature", "s"), ("bucket", "s"), ("ref_share", "d"), ("tgt_share", "d"), ("psi_term", "d")]
+    return with_views(_final(cols, "terms"), "v_drift_ref", "v_drift_tgt", extra=_drift_ctes())
+
+
+def q_psi_drift() -> str:
+    return with_views(_final([("feature", "s"), ("psi", "d")], "psi"), "v_drift_ref", "v_drift_tgt", extra=_drift_ctes())
+
+
+def q_psi_status() -> str:
+    st = "SELECT feature, psi, CASE WHEN psi >= 0.25 THEN 'alert' WHEN psi >= 0.1 THEN 'warn' ELSE 'stable' END AS status FROM psi"
+    return with_views(_final([("feature", "s"), ("psi", "d"), ("status", "s")], "st"), "v_drift_ref", "v_drift_tgt",
+                      extra=_drift_ctes() + [("st", st)])
+
+
+# --------------------------------------------------------------------------
+# Sources and sinks (round trips reproduce their input)
+# --------------------------------------------------------------------------
+
+BUREAU_RAW_COLS = [
+    ("SK_ID_CURR", "l"), ("SK_ID_BUREAU", "l"), ("CREDIT_ACTIVE", "s"), ("DAYS_CREDIT", "i"), ("CREDIT_DAY_OVERDUE", "d"),
+    ("CNT_CREDIT_PROLONG", "i"), ("AMT_CREDIT_SUM", "d"), ("AMT_CREDIT_SUM_DEBT", "d"), ("AMT_CREDIT_SUM_LIMIT", "d"),
+    ("CREDIT_TYPE", "s"),
+]
+
+
+def q_scan_csv_roundtrip() -> str:
+    return with_views(_final(BUREAU_RAW_COLS, "v_bureau"), "v_bureau")
+
+
+def q_sink_parquet_roundtrip() -> str:
+    return with_views(_final(BUREAU_RAW_COLS, "v_bureau"), "v_bureau")
+
+
+def q_csv_parse_loss() -> str:
+    return with_views("""SELECT c AS "column", t AS data_type, CAST(lost AS BIGINT) AS lost_cells FROM (
+  SELECT 'SK_ID_CURR' AS c, 'bigint' AS t, 0 AS lost, 1 AS o
+  UNION ALL SELECT 'TARGET', 'int', 0, 2
+  UNION ALL SELECT 'DAYS_REGION', 'int', 0, 3
+  UNION ALL SELECT 'FLAG_NEGATIVE_BALANCE', 'int', (SELECT count(*) FROM v_application), 4
+  UNION ALL SELECT 'NAME_SEGMENT', 'string', 0, 5)""", "v_application")

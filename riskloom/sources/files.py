@@ -44,11 +44,11 @@ def _typed(raw: Column, dtype: T.DataType) -> Column:
     if isinstance(dtype, T.StringType):
         return raw
     if isinstance(dtype, (T.IntegerType, T.LongType)):
-        direct = F.try_cast(raw, dtype.simpleString())
-        as_double = F.try_cast(raw, "double")
+        direct = raw.try_cast(dtype.simpleString())
+        as_double = raw.try_cast("double")
         integral = as_double.isNotNull() & (as_double == F.floor(as_double))
-        return F.coalesce(direct, F.when(integral, F.try_cast(as_double, dtype.simpleString())))
-    return F.try_cast(raw, dtype.simpleString())
+        return F.coalesce(direct, F.when(integral, as_double.try_cast(dtype.simpleString())))
+    return raw.try_cast(dtype.simpleString())
 
 
 def read_csv_raw(spark: SparkSession, path: str, delimiter: str = ",", encoding: str | None = None) -> DataFrame:
