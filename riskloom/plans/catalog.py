@@ -325,3 +325,90 @@ def q_sink_parquet_roundtrip(spark, sf_dir):
     path = _scratch(spark, "bureau-parquet")
     FS.write_parquet(b, path, partition_by=["CREDIT_TYPE"], repartition_by=["SK_ID_CURR"], max_records_per_file=250_000)
     return round_doubles(spark.read.parquet(path).select(*b.columns))
+
+
+# ---- exploratory statistics ----------------------------------------------------
+
+from ..operators import stats as ST  # noqa: E402
+
+CATEGORICAL_COLS = ["l_returnflag", "l_linestatus", "o_orderpriority", "o_orderstatus", "c_mktsegment"]
+HISTOGRAM_COLS = ["AMT_INCOME_TOTAL", "bureau_num_loans", "prev_app_recency_days_max", "ip_delay_max"]
+KS_COLS = ["AMT_INCOME_TOTAL", "bureau_active_rate", "ip_payment_ratio_mean"]
+
+
+def _train(spark, sf_dir):
+    return A.build_master_dataset(raw_tables(td.TestTables(spark, sf_dir)), split="train", check_master=False)
+
+
+@register("target_distribution", O.q_target_distribution)
+def q_target_distribution(spark, sf_dir):
+    return round_doubles(ST.value_counts(td.application(td.TestTables(spark, sf_dir)), "TARGET"))
+
+
+@register("corr_with_target", O.q_corr_with_target)
+def q_corr_with_target(spark, sf_dir):
+    return round_doubles(ST.corr_with_target(_train(spark, sf_dir), "TARGET", top_k=10))
+
+
+@register("corr_matrix", O.q_corr_matrix)
+def q_corr_matrix(spark, sf_dir):
+    train = _train(spark, sf_dir)
+    top = [r["feature"] for r in ST.corr_with_target(train, "TARGET", top_k=10).collect()]  # 10 names
+    return round_doubles(ST.corr_matrix(train, top + ["TARGET"]))
+
+
+def _moments(spark, sf_dir):
+    train = _train(spark, sf_dir)
+    return ST.moments(train, ST.numeric_columns(train, exclude=["TARGET"]))
+
+
+@register("skewness", O.q_skewness)
+def q_skewness(spark, sf_dir):
+    return round_doubles(_moments(spark, sf_dir).select("feature", "skewness"))
+
+
+@register("jarque_bera", O.q_jarque_bera)
+def q_jarque_bera(spark, sf_dir):
+    return round_doubles(_moments(spark, sf_dir))
+
+
+@register("ks_normal")
+def q_ks_normal(spark, sf_dir):
+    return ST.ks_normal(_train(spark, sf_dir), KS_COLS)
+
+
+@register("contingency_table", O.q_contingency_table)
+def q_contingency_table(spark, sf_dir):
+    return ST.contingency_long(td.categorical(td.TestTables(spark, sf_dir)), CATEGORICAL_COLS, "TARGET")
+
+
+@register("chi2_vs_target", O.q_chi2_vs_target)
+def q_chi2_vs_target(spark, sf_dir):
+    return round_doubles(ST.chi2_vs_target(td.categorical(td.TestTables(spark, sf_dir)), CATEGORICAL_COLS, "TARGET"))
+
+
+@register("cramers_v_matrix", O.q_cramers_v)
+def q_cramers_v(spark, sf_dir):
+    return round_doubles(ST.cramers_v_matrix(td.categorical(td.TestTables(spark, sf_dir)), CATEGORICAL_COLS))
+
+
+@register("top_categories_by_target", O.q_top_categories)
+def q_top_categories(spark, sf_dir):
+    return ST.top_categories_by_target(td.application(td.TestTables(spark, sf_dir)), "REGION_ID", "TARGET", 10)
+
+
+@register("histogram_50", O.q_histogram_50)
+def q_histogram_50(spark, sf_dir):
+    return round_doubles(ST.histogram(_train(spark, sf_dir), HISTOGRAM_COLS, 50))
+
+
+@register("column_dictionary", O.q_column_dictionary)
+def q_column_dictionary(spark, sf_dir):
+    nulls = P.null_percentages(_assembled(spark, sf_dir))
+    desc = R.registry_to_dataframe(spark).select(F.col("feature_name").alias("feature"), F.col("business_description").alias("description")).distinct()
+    return round_doubles(nulls.join(F.broadcast(desc), "feature", "left"))
+
+
+@register("hash_sample", O.q_hash_sample)
+def q_hash_sample(spark, sf_dir):
+    return round_doubles(ST.hash_sample(td.bureau(td.TestTables(spark, sf_dir)), "SK_ID_BUREAU", 5000, 42))

@@ -612,3 +612,210 @@ def q_csv_parse_loss() -> str:
   UNION ALL SELECT 'DAYS_REGION', 'int', 0, 3
   UNION ALL SELECT 'FLAG_NEGATIVE_BALANCE', 'int', (SELECT count(*) FROM v_application), 4
   UNION ALL SELECT 'NAME_SEGMENT', 'string', 0, 5)""", "v_application")
+
+
+# --------------------------------------------------------------------------
+# Exploratory statistics
+# --------------------------------------------------------------------------
+
+CATEGORICAL_COLS = ["l_returnflag", "l_linestatus", "o_orderpriority", "o_orderstatus", "c_mktsegment"]
+HISTOGRAM_COLS = ["AMT_INCOME_TOTAL", "bureau_num_loans", "prev_app_recency_days_max", "ip_delay_max"]
+NUMERIC_MASTER = [c for c, k in ASSEMBLED_COLS if k in ("l", "i", "d") and c != "TARGET"]
+
+
+def _train_cte() -> tuple[str, str]:
+    return ("tr", "SELECT * FROM f_master WHERE SPLIT = 'train'")
+
+
+def q_target_distribution() -> str:
+    body = "SELECT TARGET, count(*) AS n_rows, count(*) * 100.0 / (SELECT count(*) FROM v_application) AS pct FROM v_application GROUP BY TARGET"
+    return with_views(_final([("TARGET", "i"), ("n_rows", "l"), ("pct", "d")], "r"), "v_application", extra=[("r", body)])
+
+
+def _corr_all() -> str:
+    return "\nUNION ALL\n".join(
+        f"SELECT '{c}' AS feature, corr(CAST({c} AS DOUBLE), CAST(TARGET AS DOUBLE)) AS corr FROM tr" for c in NUMERIC_MASTER
+    )
+
+
+def _corr_top() -> list[tuple[str, str]]:
+    return [
+        _train_cte(),
+        ("ca", _corr_all()),
+        ("ct", "SELECT feature, corr, abs(corr) AS abs_corr FROM ca WHERE corr IS NOT NULL AND NOT isnan(corr) ORDER BY abs_corr DESC, feature LIMIT 10"),
+    ]
+
+
+def q_corr_with_target() -> str:
+    return with_assembled(_corr_top(), _final([("feature", "s"), ("corr", "d"), ("abs_corr", "d")], "ct"))
+
+
+def q_corr_matrix() -> str:
+    long = "\nUNION ALL\n".join(
+        f"SELECT SK_ID_CURR AS id, '{c}' AS feature, CAST({c} AS DOUBLE) AS value FROM tr" for c in NUMERIC_MASTER + ["TARGET"]
+    )
+    extra = _corr_top() + [
+        ("sel", "SELECT feature FROM ct UNION ALL SELECT 'TARGET'"),
+        ("lg", f"SELECT * FROM ({long}) WHERE feature IN (SELECT feature FROM sel)"),
+        ("cm", """SELECT a.feature AS feature_a, b.feature AS feature_b,
+       CASE WHEN a.feature = b.feature THEN 1.0 ELSE corr(a.value, b.value) END AS corr
+FROM lg a JOIN lg b ON a.id = b.id GROUP BY a.feature, b.feature"""),
+    ]
+    return with_assembled(extra, _final([("feature_a", "s"), ("feature_b", "s"), ("corr", "d")], "cm"))
+
+
+def _moments_cte() -> list[tuple[str, str]]:
+    parts = []
+    for c in NUMERIC_MASTER:
+        x = f"CAST({c} AS DOUBLE)"
+        parts.append(
+            f"SELECT '{c}' AS feature, count({x}) AS n, "
+            f"avg(power({x} - m.mu, 3)) AS m3, avg(power({x} - m.mu, 2)) AS m2, avg(power({x} - m.mu, 4)) AS m4, "
+            f"min({x}) = max({x}) AS flat FROM tr, (SELECT avg({x}) AS mu FROM tr) m"
+        )
+    mom = "\nUNION ALL\n".join(parts)
+    shaped = """SELECT feature, n,
+       CASE WHEN flat IS NULL OR flat THEN NULL ELSE m3 / power(m2, 1.5) END AS skewness,
+       CASE WHEN flat IS NULL OR flat THEN NULL ELSE m4 / (m2 * m2) - 3.0 END AS kurtosis
+FROM mom"""
+    jb = """SELECT feature, n, skewness, kurtosis,
+       n / 6.0 * (skewness * skewness + kurtosis * kurtosis / 4.0) AS jarque_bera,
+       exp(-(n / 6.0 * (skewness * skewness + kurtosis * kurtosis / 4.0)) / 2.0) AS jb_p_value
+FROM shaped"""
+    return [_train_cte(), ("mom", mom), ("shaped", shaped), ("jb", jb)]
+
+
+def q_skewness() -> str:
+    return with_assembled(_moments_cte(), _final([("feature", "s"), ("skewness", "d")], "jb"))
+
+
+def q_jarque_bera() -> str:
+    cols = [("feature", "s"), ("n", "l"), ("skewness", "d"), ("kurtosis", "d"), ("jarque_bera", "d"), ("jb_p_value", "d")]
+    return with_assembled(_moments_cte(), _final(cols, "jb"))
+
+
+def _cat_long() -> str:
+    return "\nUNION ALL\n".join(
+        f"SELECT '{c}' AS feature, CAST({c} AS VARCHAR) AS value, TARGET AS target FROM v_categorical" for c in CATEGORICAL_COLS
+    )
+
+
+def q_contingency_table() -> str:
+    body = f"SELECT feature, value, target, count(*) AS n FROM ({_cat_long()}) WHERE value IS NOT NULL AND target IS NOT NULL GROUP BY ALL"
+    return with_views(_final([("feature", "s"), ("value", "s"), ("target", "i"), ("n", "l")], "r"), "v_categorical", extra=[("r", body)])
+
+
+_ERFC_COEF = [-1.26551223, 1.00002368, 0.37409196, 0.09678418, -0.18628806,
+              0.27886807, -1.13520398, 1.48851587, -0.82215223, 0.17087277]
+
+
+def _erfc_sql(x: str) -> str:
+    t = f"(1.0 / (1.0 + 0.5 * abs({x})))"
+    poly = f"{_ERFC_COEF[-1]!r}"
+    for c in reversed(_ERFC_COEF[:-1]):
+        poly = f"({poly} * {t} + {c!r})"
+    ans = f"({t} * exp(-abs({x}) * abs({x}) + {poly}))"
+    return f"(CASE WHEN {x} >= 0 THEN {ans} ELSE 2.0 - {ans} END)"
+
+
+def _chi2_sf_sql(x: str, dof: int) -> str:
+    import math
+
+    half = f"({x} / 2.0)"
+    if dof % 2 == 0:
+        terms, term = ["1.0"], "1.0"
+        for i in range(1, dof // 2):
+            term = f"({term} * {half} / {float(i)!r})"
+            terms.append(term)
+        return f"(exp(-{half}) * ({' + '.join(terms)}))"
+    base = _erfc_sql(f"sqrt({half})")
+    if dof == 1:
+        return base
+    term = f"(sqrt(2.0 * {x} / {math.pi!r}) * exp(-{half}))"
+    terms = [term]
+    for i in range(1, (dof - 1) // 2):
+        term = f"({term} * {x} / {float(2 * i + 1)!r})"
+        terms.append(term)
+    return f"({base} + {' + '.join(terms)})"
+
+
+def _chi2_ctes(long_sql: str, group: list[str]) -> list[tuple[str, str]]:
+    g = ", ".join(group)
+    on = " AND ".join(f"x.{c} = y.{c}" for c in group)
+    return [
+        ("cl", long_sql),
+        ("cnt", f"SELECT {g}, a, b, count(*) AS n FROM cl WHERE a IS NOT NULL AND b IS NOT NULL GROUP BY ALL"),
+        ("rw", f"SELECT {g}, a, sum(n) AS row_n FROM cnt GROUP BY ALL"),
+        ("cw", f"SELECT {g}, b, sum(n) AS col_n FROM cnt GROUP BY ALL"),
+        ("dims", f"""SELECT x.*, y.c FROM (SELECT {g}, count(*) AS r, sum(row_n) AS total FROM rw GROUP BY ALL) x
+JOIN (SELECT {g}, count(*) AS c FROM cw GROUP BY ALL) y ON {on}"""),
+        ("grid", f"""SELECT d.*, rw.a, cw.b, rw.row_n * cw.col_n / d.total AS e, coalesce(cnt.n, 0) AS o
+FROM dims d JOIN rw ON {' AND '.join(f'rw.{c} = d.{c}' for c in group)}
+JOIN cw ON {' AND '.join(f'cw.{c} = d.{c}' for c in group)}
+LEFT JOIN cnt ON {' AND '.join(f'cnt.{c} = d.{c}' for c in group)} AND cnt.a = rw.a AND cnt.b = cw.b"""),
+        ("chi", f"""SELECT {g}, any_value(total) AS n, any_value(r) AS n_rows, any_value(c) AS n_cols,
+       (any_value(r) - 1) * (any_value(c) - 1) AS dof,
+       sum(CASE WHEN (r - 1) * (c - 1) = 1 THEN power(greatest(abs(o - e) - 0.5, 0.0), 2) / e
+                ELSE power(o - e, 2) / e END) AS chi2
+FROM grid GROUP BY ALL"""),
+    ]
+
+
+def q_chi2_vs_target() -> str:
+    long = _cat_long().replace("AS value", "AS a").replace("AS target", "AS b")
+    p = "CASE " + " ".join(f"WHEN dof = {d} THEN {_chi2_sf_sql('chi2', d)}" for d in range(1, 9)) + " END"
+    scored = f"""SELECT feature, n, dof, chi2, {p} AS p_value,
+       (chi2 - min(chi2) OVER ()) / nullif(max(chi2) OVER () - min(chi2) OVER (), 0) AS chi2_norm FROM chi"""
+    cols = [("feature", "s"), ("n", "l"), ("dof", "i"), ("chi2", "d"), ("p_value", "d"), ("chi2_norm", "d")]
+    return with_views(_final(cols, "sc"), "v_categorical", extra=_chi2_ctes(long, ["feature"]) + [("sc", scored)])
+
+
+def q_cramers_v() -> str:
+    pairs = [(a, b) for a in CATEGORICAL_COLS for b in CATEGORICAL_COLS if a != b]
+    long = "\nUNION ALL\n".join(
+        f"SELECT '{a}' AS feature_a, '{b}' AS feature_b, CAST({a} AS VARCHAR) AS a, CAST({b} AS VARCHAR) AS b FROM v_categorical"
+        for a, b in pairs
+    )
+    diag = "\nUNION ALL\n".join(f"SELECT '{c}' AS feature_a, '{c}' AS feature_b, 1.0 AS cramers_v" for c in CATEGORICAL_COLS)
+    v = f"""SELECT feature_a, feature_b,
+       sqrt(chi2 / nullif(n * (least(n_rows, n_cols) - 1), 0)) AS cramers_v FROM chi
+UNION ALL {diag}"""
+    return with_views(_final([("feature_a", "s"), ("feature_b", "s"), ("cramers_v", "d")], "v"), "v_categorical",
+                      extra=_chi2_ctes(long, ["feature_a", "feature_b"]) + [("v", v)])
+
+
+def q_top_categories() -> str:
+    return with_views("""SELECT REGION_ID, TARGET, count(*) AS n_rows FROM v_application
+WHERE REGION_ID IN (SELECT REGION_ID FROM v_application WHERE REGION_ID IS NOT NULL
+                    GROUP BY REGION_ID ORDER BY count(*) DESC, REGION_ID LIMIT 10)
+GROUP BY REGION_ID, TARGET""", "v_application")
+
+
+def q_histogram_50() -> str:
+    parts = []
+    for c in HISTOGRAM_COLS:
+        x = f"CAST({c} AS DOUBLE)"
+        parts.append(f"""SELECT '{c}' AS feature, s.lo, s.hi,
+       CASE WHEN s.hi = s.lo THEN 0 ELSE CAST(least(floor(({x} - s.lo) / (s.hi - s.lo) * 50), 49) AS INTEGER) END AS bin
+FROM tr, (SELECT min({x}) AS lo, max({x}) AS hi FROM tr) s WHERE {x} IS NOT NULL""")
+    hb = "\nUNION ALL\n".join(parts)
+    h = """SELECT feature, bin, lo + bin * ((hi - lo) / 50) AS bin_lo, lo + (bin + 1) * ((hi - lo) / 50) AS bin_hi, count(*) AS n_rows
+FROM hb GROUP BY feature, bin, lo, hi"""
+    cols = [("feature", "s"), ("bin", "i"), ("bin_lo", "d"), ("bin_hi", "d"), ("n_rows", "l")]
+    return with_assembled([_train_cte(), ("hb", hb), ("h", h)], _final(cols, "h"))
+
+
+def q_column_dictionary() -> str:
+    from ..operators.registry import FEATURE_SPECS
+
+    desc = "\nUNION ALL\n".join(
+        f"SELECT '{s.feature_name}' AS feature, '{s.business_description}' AS description" for s in FEATURE_SPECS
+    )
+    d = "SELECT np.feature, np.null_pct, dd.description FROM np LEFT JOIN (SELECT DISTINCT * FROM dsc) dd ON np.feature = dd.feature"
+    return with_assembled([_rounded_master(), ("np", _null_pct_sql()), ("dsc", desc), ("d", d)],
+                          _final([("feature", "s"), ("null_pct", "d"), ("description", "s")], "d"))
+
+
+def q_hash_sample() -> str:
+    body = "SELECT * FROM v_bureau ORDER BY md5(CAST(SK_ID_BUREAU AS VARCHAR) || ':42') LIMIT 5000"
+    return with_views(_final(BUREAU_RAW_COLS, "hs"), "v_bureau", extra=[("hs", body)])
