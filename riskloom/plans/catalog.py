@@ -412,3 +412,155 @@ def q_column_dictionary(spark, sf_dir):
 @register("hash_sample", O.q_hash_sample)
 def q_hash_sample(spark, sf_dir):
     return round_doubles(ST.hash_sample(td.bureau(td.TestTables(spark, sf_dir)), "SK_ID_BUREAU", 5000, 42))
+
+
+# ---- model preparation, models, evaluation ----------------------------------------
+
+from ..operators import evaluation as EV  # noqa: E402
+from ..operators import ml as ML  # noqa: E402
+
+# Predictors of the model table.  AMT_INCOME_TOTAL is left out: in the test-data
+# adapter it is the account balance whose sign defines TARGET (a label leak).
+NUMERIC_MODEL = ["bureau_num_loans", "bureau_active_rate", "bureau_debt_ratio_mean", "bureau_credit_utilization_mean",
+                 "prev_app_approval_rate", "prev_app_credit_ratio_mean", "ip_on_time_rate", "ip_delay_mean",
+                 "ip_payment_ratio_mean", "pc_dpd_rate_mean", "cc_utilization_mean", "cc_balance_mean"]
+CATEGORICAL_MODEL = ["NAME_SEGMENT", "REGION_ID"]
+
+
+def _model_base(spark, sf_dir):
+    train = _train(spark, sf_dir)
+    return train.select("SK_ID_CURR", F.col("TARGET").cast("int").alias("TARGET"), *NUMERIC_MODEL,
+                        *[F.col(c).cast("string").alias(c) for c in CATEGORICAL_MODEL])
+
+
+@register("stratified_split")
+def q_stratified_split(spark, sf_dir):
+    return ML.stratified_split(_model_base(spark, sf_dir).select("SK_ID_CURR", "TARGET")).select("SK_ID_CURR", "TARGET", "split")
+
+
+@register("stratified_split_md5", O.q_stratified_split_md5)
+def q_stratified_split_md5(spark, sf_dir):
+    base = _model_base(spark, sf_dir).select("SK_ID_CURR", "TARGET")
+    return ML.stratified_split(base, method="md5").select("SK_ID_CURR", "TARGET", "split")
+
+
+@register("stratified_subsample", O.q_stratified_subsample)
+def q_stratified_subsample(spark, sf_dir):
+    base = _model_base(spark, sf_dir).select("SK_ID_CURR", "TARGET")
+    return ML.stratified_subsample(base, 0.2, method="md5")
+
+
+def _split_md5(spark, sf_dir):
+    return ML.stratified_split(_model_base(spark, sf_dir), method="md5")
+
+
+def _imputed(spark, sf_dir):
+    split = _split_md5(spark, sf_dir)
+    medians = ML.fit_medians(split.filter(F.col("split") == "train"), NUMERIC_MODEL, relative_error=0.0)
+    return ML.impute_median(split, medians)
+
+
+@register("impute_median", O.q_impute_median)
+def q_impute_median(spark, sf_dir):
+    return round_doubles(_imputed(spark, sf_dir).select("SK_ID_CURR", "split", *NUMERIC_MODEL))
+
+
+def _scaled(spark, sf_dir):
+    imp = _imputed(spark, sf_dir)
+    params = ML.fit_scaler(imp.filter(F.col("split") == "train"), NUMERIC_MODEL)
+    return ML.standard_scale(imp, params)
+
+
+@register("standard_scale", O.q_standard_scale)
+def q_standard_scale(spark, sf_dir):
+    return round_doubles(_scaled(spark, sf_dir).select("SK_ID_CURR", "split", *NUMERIC_MODEL))
+
+
+@register("impute_mode", O.q_impute_mode)
+def q_impute_mode(spark, sf_dir):
+    split = _split_md5(spark, sf_dir)
+    modes = ML.fit_modes(split.filter(F.col("split") == "train"), CATEGORICAL_MODEL)
+    return ML.impute_mode(split, modes).select("SK_ID_CURR", "split", *CATEGORICAL_MODEL)
+
+
+@register("class_weights", O.q_class_weights)
+def q_class_weights(spark, sf_dir):
+    split = _split_md5(spark, sf_dir)
+    return round_doubles(ML.class_weights(split.filter(F.col("split") == "train"), "TARGET"))
+
+
+@register("gaussian_nb_moments", O.q_gaussian_nb_moments)
+def q_gaussian_nb_moments(spark, sf_dir):
+    sc = _scaled(spark, sf_dir).filter(F.col("split") == "train")
+    return round_doubles(ML.gaussian_nb_moments(sc, NUMERIC_MODEL, "TARGET"))
+
+
+def _model_frame(spark, sf_dir):
+    frame, _ = ML.prepare_model_frame(_train(spark, sf_dir), NUMERIC_MODEL, CATEGORICAL_MODEL)
+    return frame
+
+
+@register("one_hot")
+def q_one_hot(spark, sf_dir):
+    from pyspark.ml.functions import vector_to_array
+
+    frame = _model_frame(spark, sf_dir)
+    return frame.select("SK_ID_CURR", "split", vector_to_array(F.col("features")).alias("features"))
+
+
+def _model_query(kind):
+    def run(spark, sf_dir):
+        return ML.fit_and_predict(_model_frame(spark, sf_dir), kind)
+
+    return run
+
+
+for _kind in ("logreg_l2", "logreg_l1", "gaussian_nb", "random_forest", "gbt", "linear_svc", "mlp"):
+    register(f"ml_{_kind}")(_model_query(_kind))
+
+
+@register("ml_grid_search")
+def q_ml_grid_search(spark, sf_dir):
+    model, grid = ML.grid_search(_model_frame(spark, sf_dir))
+    rows = [(float(pm[list(pm)[0]]), float(m)) for pm, m in zip(grid, model.avgMetrics)]
+    return spark.createDataFrame(rows, "reg_param double, mean_recall_class_1 double")
+
+
+def _scores(spark, sf_dir):
+    return td.scores(td.TestTables(spark, sf_dir))
+
+
+@register("confusion_matrix", O.q_confusion_matrix)
+def q_confusion_matrix(spark, sf_dir):
+    return EV.confusion_matrix(_scores(spark, sf_dir), "y", "pred")
+
+
+@register("classification_report", O.q_classification_report)
+def q_classification_report(spark, sf_dir):
+    return round_doubles(EV.classification_report(_scores(spark, sf_dir), "y", "pred"))
+
+
+@register("roc_curve", O.q_roc_curve)
+def q_roc_curve(spark, sf_dir):
+    return round_doubles(EV.roc_curve(_scores(spark, sf_dir), "y", "score"))
+
+
+@register("roc_auc", O.q_roc_auc)
+def q_roc_auc(spark, sf_dir):
+    return round_doubles(EV.roc_auc(_scores(spark, sf_dir), "y", "score"))
+
+
+@register("recall_train_test", O.q_recall_train_test)
+def q_recall_train_test(spark, sf_dir):
+    return round_doubles(EV.recall_by_split(_scores(spark, sf_dir), "split", "y", "pred"))
+
+
+@register("wilcoxon_paired", O.q_wilcoxon_paired)
+def q_wilcoxon_paired(spark, sf_dir):
+    s = _scores(spark, sf_dir).select("doc_id", "split", ((F.col("pred") == 1) & (F.col("y") == 1)).cast("int").alias("tp"))
+    return round_doubles(EV.wilcoxon_paired(s.filter(F.col("split") == "train"), s.filter(F.col("split") == "test"), "doc_id", "tp"))
+
+
+@register("evaluation_report", O.q_evaluation_report)
+def q_evaluation_report(spark, sf_dir):
+    return round_doubles(EV.evaluation_report(_scores(spark, sf_dir), "y", "pred", "score"))

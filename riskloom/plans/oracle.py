@@ -819,3 +819,176 @@ def q_column_dictionary() -> str:
 def q_hash_sample() -> str:
     body = "SELECT * FROM v_bureau ORDER BY md5(CAST(SK_ID_BUREAU AS VARCHAR) || ':42') LIMIT 5000"
     return with_views(_final(BUREAU_RAW_COLS, "hs"), "v_bureau", extra=[("hs", body)])
+
+
+# --------------------------------------------------------------------------
+# Model preparation (md5-ordered stratified split, exact medians) and evaluation
+# --------------------------------------------------------------------------
+
+NUMERIC_MODEL = ["bureau_num_loans", "bureau_active_rate", "bureau_debt_ratio_mean", "bureau_credit_utilization_mean",
+                 "prev_app_approval_rate", "prev_app_credit_ratio_mean", "ip_on_time_rate", "ip_delay_mean",
+                 "ip_payment_ratio_mean", "pc_dpd_rate_mean", "cc_utilization_mean", "cc_balance_mean"]
+CATEGORICAL_MODEL = ["NAME_SEGMENT", "REGION_ID"]
+
+
+def _split_ctes(shares=(("test", 0.2), ("validation", 0.2), ("train", 0.6))) -> list[tuple[str, str]]:
+    cats = ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in CATEGORICAL_MODEL)
+    base = f"SELECT SK_ID_CURR, CAST(TARGET AS INTEGER) AS TARGET, {', '.join(NUMERIC_MODEL)}, {cats} FROM f_master WHERE SPLIT = 'train'"
+    ranked = """SELECT *, row_number() OVER (PARTITION BY TARGET ORDER BY md5(CAST(SK_ID_CURR AS VARCHAR) || ':42'), SK_ID_CURR) AS rk,
+       count(*) OVER (PARTITION BY TARGET) AS cn FROM mb"""
+    cum, whens = 0.0, []
+    for name, share in shares[:-1]:
+        cum += share
+        whens.append(f"WHEN rk <= ceil(cn * CAST({cum!r} AS DOUBLE)) THEN '{name}'")
+    case = f"CASE {' '.join(whens)} ELSE '{shares[-1][0]}' END"
+    return [("mb", base), ("mr", ranked), ("ms", f"SELECT * EXCLUDE (rk, cn), {case} AS split FROM mr")]
+
+
+def q_stratified_split_md5() -> str:
+    return with_assembled(_split_ctes(), "SELECT SK_ID_CURR, TARGET, split FROM ms")
+
+
+def q_stratified_subsample() -> str:
+    return with_assembled(_split_ctes((("keep", 0.2), ("drop", 0.8))), "SELECT SK_ID_CURR, TARGET FROM ms WHERE split = 'keep'")
+
+
+def _impute_ctes() -> list[tuple[str, str]]:
+    med = ", ".join(f"quantile_disc(CAST({c} AS DOUBLE), 0.5) AS {c}" for c in NUMERIC_MODEL)
+    filled = ", ".join(f"coalesce(CAST(ms.{c} AS DOUBLE), md.{c}) AS {c}" for c in NUMERIC_MODEL)
+    return _split_ctes() + [
+        ("md", f"SELECT {med} FROM ms WHERE split = 'train'"),
+        ("mi", f"SELECT ms.SK_ID_CURR, ms.TARGET, ms.split, {filled}, {', '.join('ms.' + c for c in CATEGORICAL_MODEL)} FROM ms, md"),
+    ]
+
+
+def q_impute_median() -> str:
+    cols = [("SK_ID_CURR", "l"), ("split", "s")] + [(c, "d") for c in NUMERIC_MODEL]
+    return with_assembled(_impute_ctes(), _final(cols, "mi"))
+
+
+def _scale_ctes() -> list[tuple[str, str]]:
+    stats = ", ".join(f"avg({c}) AS {c}__m, stddev_pop({c}) AS {c}__s" for c in NUMERIC_MODEL)
+    scaled = ", ".join(
+        f"(mi.{c} - coalesce(st.{c}__m, 0.0)) / (CASE WHEN st.{c}__s IS NULL OR st.{c}__s = 0 THEN 1.0 ELSE st.{c}__s END) AS {c}"
+        for c in NUMERIC_MODEL
+    )
+    return _impute_ctes() + [
+        ("st", f"SELECT {stats} FROM mi WHERE split = 'train'"),
+        ("sc", f"SELECT mi.SK_ID_CURR, mi.TARGET, mi.split, {scaled} FROM mi, st"),
+    ]
+
+
+def q_standard_scale() -> str:
+    cols = [("SK_ID_CURR", "l"), ("split", "s")] + [(c, "d") for c in NUMERIC_MODEL]
+    return with_assembled(_scale_ctes(), _final(cols, "sc"))
+
+
+def q_impute_mode() -> str:
+    modes = []
+    for c in CATEGORICAL_MODEL:
+        modes.append(f"""(SELECT {c} FROM ms WHERE split = 'train' AND {c} IS NOT NULL GROUP BY {c}
+   ORDER BY count(*) DESC, {c} LIMIT 1) AS {c}""")
+    md = "SELECT " + ", ".join(modes)
+    fill = ", ".join(f"coalesce(ms.{c}, mo.{c}) AS {c}" for c in CATEGORICAL_MODEL)
+    return with_assembled(_split_ctes() + [("mo", md), ("mf", f"SELECT ms.SK_ID_CURR, ms.split, {fill} FROM ms, mo")],
+                          "SELECT * FROM mf")
+
+
+def q_class_weights() -> str:
+    body = """SELECT TARGET, count(*) AS n_rows,
+       CAST((SELECT count(*) FROM ms WHERE split = 'train') AS DOUBLE)
+         / (CAST((SELECT count(DISTINCT TARGET) FROM ms WHERE split = 'train') AS DOUBLE) * count(*)) AS weight
+FROM ms WHERE split = 'train' GROUP BY TARGET"""
+    return with_assembled(_split_ctes() + [("cw", body)], _final([("TARGET", "i"), ("n_rows", "l"), ("weight", "d")], "cw"))
+
+
+def q_gaussian_nb_moments() -> str:
+    long = "\nUNION ALL\n".join(
+        f"SELECT TARGET AS label, '{c}' AS feature, {c} AS value FROM sc WHERE split = 'train'" for c in NUMERIC_MODEL
+    )
+    g = f"SELECT label, feature, count(value) AS n, avg(value) AS mean, var_pop(value) AS variance FROM ({long}) GROUP BY label, feature"
+    cols = [("label", "i"), ("feature", "s"), ("n", "l"), ("mean", "d"), ("variance", "d")]
+    return with_assembled(_scale_ctes() + [("g", g)], _final(cols, "g"))
+
+
+def q_confusion_matrix() -> str:
+    return with_views("SELECT y AS label, pred AS prediction, count(*) AS n_rows FROM v_scores GROUP BY y, pred", "v_scores")
+
+
+def _report_ctes() -> list[tuple[str, str]]:
+    per = """SELECT c,
+       count(*) FILTER (WHERE y = c AND pred = c) AS tp,
+       count(*) FILTER (WHERE y = c) AS support,
+       count(*) FILTER (WHERE pred = c) AS predicted
+FROM (SELECT DISTINCT y AS c FROM v_scores UNION SELECT DISTINCT pred FROM v_scores) k, v_scores GROUP BY c"""
+    rep = """SELECT CAST(c AS VARCHAR) AS class_label,
+       CASE WHEN predicted > 0 THEN tp / predicted ELSE 0.0 END AS precision,
+       CASE WHEN support > 0 THEN tp / support ELSE 0.0 END AS recall, support FROM per"""
+    f1 = """SELECT class_label, precision, recall,
+       CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall) ELSE 0.0 END AS f1, support FROM rep
+UNION ALL
+SELECT NULL, avg(CASE WHEN y = pred THEN 1.0 ELSE 0.0 END), avg(CASE WHEN y = pred THEN 1.0 ELSE 0.0 END),
+       avg(CASE WHEN y = pred THEN 1.0 ELSE 0.0 END), count(*) FROM v_scores"""
+    return [("per", per), ("rep", rep), ("cr", f1)]
+
+
+def q_classification_report() -> str:
+    cols = [("class_label", "s"), ("precision", "d"), ("recall", "d"), ("f1", "d"), ("support", "l")]
+    return with_views(_final(cols, "cr"), "v_scores", extra=_report_ctes())
+
+
+def _roc_ctes() -> list[tuple[str, str]]:
+    ps = """SELECT CAST(score AS DOUBLE) AS threshold, CAST(sum(CASE WHEN y = 1 THEN 1 ELSE 0 END) AS DOUBLE) AS pos,
+       CAST(sum(CASE WHEN y = 1 THEN 0 ELSE 1 END) AS DOUBLE) AS neg FROM v_scores GROUP BY 1"""
+    rc = """SELECT threshold, pos, neg,
+       sum(pos) OVER (ORDER BY threshold DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS tp,
+       sum(neg) OVER (ORDER BY threshold DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS fp,
+       sum(pos) OVER () AS P, sum(neg) OVER () AS N FROM ps"""
+    curve = "SELECT threshold, tp, fp, CASE WHEN N > 0 THEN fp / N END AS fpr, CASE WHEN P > 0 THEN tp / P END AS tpr FROM rc"
+    return [("ps", ps), ("rc", rc), ("curve", curve)]
+
+
+def q_roc_curve() -> str:
+    cols = [("threshold", "d"), ("tp", "d"), ("fp", "d"), ("fpr", "d"), ("tpr", "d")]
+    return with_views(_final(cols, "curve"), "v_scores", extra=_roc_ctes())
+
+
+def q_roc_auc() -> str:
+    auc = """SELECT sum(neg * (tp - pos + pos / 2.0)) / (any_value(P) * any_value(N)) AS auc,
+       CAST(any_value(P) AS BIGINT) AS n_pos, CAST(any_value(N) AS BIGINT) AS n_neg FROM rc"""
+    return with_views(_final([("auc", "d"), ("n_pos", "l"), ("n_neg", "l")], "a"), "v_scores", extra=_roc_ctes() + [("a", auc)])
+
+
+def q_recall_train_test() -> str:
+    body = "SELECT split, avg(CASE WHEN pred = 1 THEN 1.0 ELSE 0.0 END) AS recall FROM v_scores WHERE y = 1 GROUP BY split"
+    return with_views(_final([("split", "s"), ("recall", "d")], "r"), "v_scores", extra=[("r", body)])
+
+
+def q_wilcoxon_paired() -> str:
+    flags = "SELECT doc_id, split, CAST(pred = 1 AND y = 1 AS INTEGER) AS tp FROM v_scores"
+    pa = "SELECT row_number() OVER (ORDER BY doc_id) AS pos, tp AS fa FROM fl WHERE split = 'train'"
+    pb = "SELECT row_number() OVER (ORDER BY doc_id) AS pos, tp AS fb FROM fl WHERE split = 'test'"
+    cnt = "SELECT count(*) FILTER (WHERE fa - fb > 0) AS n_pos, count(*) FILTER (WHERE fa - fb < 0) AS n_neg FROM pa JOIN pb ON pa.pos = pb.pos"
+    w = """SELECT n_pos, n_neg, n_pos + n_neg AS n,
+       least(n_pos, n_neg) * (CAST(n_pos + n_neg AS DOUBLE) + 1) / 2.0 AS w,
+       CAST(n_pos + n_neg AS DOUBLE) AS nd FROM cnt"""
+    z = """SELECT n_pos, n_neg, n, w,
+       CASE WHEN nd * (nd + 1) * (2 * nd + 1) / 24.0 - (nd * nd * nd - nd) / 48.0 > 0
+            THEN (w - nd * (nd + 1) / 4.0) / sqrt(nd * (nd + 1) * (2 * nd + 1) / 24.0 - (nd * nd * nd - nd) / 48.0) END AS z
+FROM wv"""
+    cols = [("n_pos", "l"), ("n_neg", "l"), ("n", "l"), ("w", "d"), ("z", "d")]
+    return with_views(_final(cols, "zz"), "v_scores",
+                      extra=[("fl", flags), ("pa", pa), ("pb", pb), ("cnt", cnt), ("wv", w), ("zz", z)])
+
+
+def q_evaluation_report() -> str:
+    cm = "SELECT 'count_pred_' || CAST(pred AS VARCHAR) AS metric, CAST(y AS VARCHAR) AS class_label, CAST(count(*) AS DOUBLE) AS value FROM v_scores GROUP BY y, pred"
+    st = """SELECT 'precision' AS metric, class_label, precision AS value FROM cr
+UNION ALL SELECT 'recall', class_label, recall FROM cr
+UNION ALL SELECT 'f1', class_label, f1 FROM cr
+UNION ALL SELECT 'support', class_label, CAST(support AS DOUBLE) FROM cr"""
+    auc = "SELECT 'auc' AS metric, NULL AS class_label, sum(neg * (tp - pos + pos / 2.0)) / (any_value(P) * any_value(N)) AS value FROM rc"
+    allr = "SELECT * FROM cmx UNION ALL SELECT * FROM stx UNION ALL SELECT * FROM aucx"
+    cols = [("metric", "s"), ("class_label", "s"), ("value", "d")]
+    return with_views(_final(cols, "er"), "v_scores",
+                      extra=_report_ctes() + _roc_ctes() + [("cmx", cm), ("stx", st), ("aucx", auc), ("er", allr)])
