@@ -27,6 +27,7 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
 from .drift import quantile_edges
 from .ordered import ordered_scan
 
@@ -173,7 +174,10 @@ def prepare_model_frame(df: DataFrame, numeric: Sequence[str], categorical: Sequ
     scaled = standard_scale(filled, scaler)
     weighted = scaled.join(F.broadcast(class_weights(scaled.filter(F.col("split") == "train"), label).select(label, "weight")), label, "left")
     enc = Pipeline(stages=encoder_stages(categorical, numeric)).fit(weighted.filter(F.col("split") == "train"))
-    return enc.transform(weighted), enc
+    # iterative learners re-read their input many times: cut the lineage once
+    # (reliable checkpoint in the shared checkpoint folder, survives executor loss)
+    ensure_checkpoint_dir(df.sparkSession)
+    return enc.transform(weighted).checkpoint(eager=True), enc
 
 
 # ---------------------------------------------------------------------------
