@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -90,12 +91,38 @@ def _edges_by_feature(edges: DataFrame) -> dict[str, list[float]]:
     return {k: sorted(v) for k, v in out.items()}
 
 
+@dataclass
+class ReferenceProfile:
+    """Everything PSI needs from the reference side: interior edges and bucket counts.
+
+    Small by construction: at most ``features x (buckets + 2)`` count rows.
+    """
+
+    cols: list[str]
+    interior: dict[str, list[float]]
+    counts: DataFrame  # (feature, bucket, ref_count)
+
+
+def _bucketed(df: DataFrame, interior: dict[str, list[float]]) -> DataFrame:
+    pairs = F.array(*[F.struct(F.lit(f).alias("feature"), bucket_label(f, edges).alias("bucket")) for f, edges in interior.items()])
+    return df.select(F.inline(pairs))
+
+
+def reference_profile(reference: DataFrame, cols: Sequence[str], buckets: int = PSI_BUCKETS,
+                      relative_error: float = DEFAULT_RELATIVE_ERROR) -> ReferenceProfile:
+    edges = _edges_by_feature(quantile_edges(reference, cols, buckets, relative_error))
+    interior = {c: edges[c][1:-1] for c in cols if len(edges.get(c, [])) >= 3}
+    if interior:
+        counts = _bucketed(reference, interior).groupBy("feature", "bucket").agg(F.count(F.lit(1)).alias("ref_count"))
+    else:
+        counts = reference.sparkSession.createDataFrame([], "feature string, bucket string, ref_count bigint")
+    return ReferenceProfile(list(cols), interior, counts)
+
+
 def bucket_counts(reference: DataFrame, target: DataFrame, interior: dict[str, list[float]]) -> DataFrame:
     """(feature, bucket, ref_count, tgt_count) for every feature with interior edges; one aggregate."""
-    feats = list(interior)
     def tagged(df: DataFrame, side: int) -> DataFrame:
-        pairs = F.array(*[F.struct(F.lit(f).alias("feature"), bucket_label(f, interior[f]).alias("bucket")) for f in feats])
-        return df.select(F.lit(side).alias("side"), F.inline(pairs))
+        return _bucketed(df, interior).select(F.lit(side).alias("side"), "feature", "bucket")
 
     both = tagged(reference, 0).unionByName(tagged(target, 1))
     return both.groupBy("feature", "bucket").agg(
@@ -104,17 +131,7 @@ def bucket_counts(reference: DataFrame, target: DataFrame, interior: dict[str, l
     )
 
 
-def psi_buckets(reference: DataFrame, target: DataFrame, cols: Sequence[str] | None = None, buckets: int = PSI_BUCKETS,
-                relative_error: float = DEFAULT_RELATIVE_ERROR) -> DataFrame:
-    """Per (feature, bucket): shares on each side and the PSI term.  Features with < 3 boundaries are absent."""
-    spark = reference.sparkSession
-    cols = list(cols) if cols is not None else drift_candidates(reference, target)
-    schema = "feature string, bucket string, ref_share double, tgt_share double, psi_term double"
-    edges = _edges_by_feature(quantile_edges(reference, cols, buckets, relative_error))
-    interior = {c: edges[c][1:-1] for c in cols if len(edges.get(c, [])) >= 3}
-    if not interior:
-        return spark.createDataFrame([], schema)
-    counts = bucket_counts(reference, target, interior)
+def _terms(counts: DataFrame) -> DataFrame:
     w_tot = counts.groupBy("feature").agg(F.sum("ref_count").alias("ref_total"), F.sum("tgt_count").alias("tgt_total"))
     shares = counts.join(w_tot, "feature").select(
         "feature",
@@ -129,6 +146,33 @@ def psi_buckets(reference: DataFrame, target: DataFrame, cols: Sequence[str] | N
     )
 
 
+def psi_buckets(reference: DataFrame, target: DataFrame, cols: Sequence[str] | None = None, buckets: int = PSI_BUCKETS,
+                relative_error: float = DEFAULT_RELATIVE_ERROR) -> DataFrame:
+    """Per (feature, bucket): shares on each side and the PSI term.  Features with < 3 boundaries are absent."""
+    spark = reference.sparkSession
+    cols = list(cols) if cols is not None else drift_candidates(reference, target)
+    schema = "feature string, bucket string, ref_share double, tgt_share double, psi_term double"
+    edges = _edges_by_feature(quantile_edges(reference, cols, buckets, relative_error))
+    interior = {c: edges[c][1:-1] for c in cols if len(edges.get(c, [])) >= 3}
+    if not interior:
+        return spark.createDataFrame([], schema)
+    return _terms(bucket_counts(reference, target, interior))
+
+
+def psi_from_profile(profile: ReferenceProfile, target: DataFrame) -> DataFrame:
+    """(feature, psi) of a target table against a stored reference profile."""
+    spark = target.sparkSession
+    names = spark.createDataFrame([(c,) for c in profile.cols], "feature string")
+    if not profile.interior:
+        return names.select("feature", F.lit(0.0).alias("psi"))
+    tgt = _bucketed(target, profile.interior).groupBy("feature", "bucket").agg(F.count(F.lit(1)).alias("tgt_count"))
+    counts = profile.counts.join(tgt, ["feature", "bucket"], "full_outer").select(
+        "feature", "bucket", F.coalesce("ref_count", F.lit(0)).alias("ref_count"), F.coalesce("tgt_count", F.lit(0)).alias("tgt_count")
+    )
+    summed = _terms(counts).groupBy("feature").agg(F.sum("psi_term").alias("psi"))
+    return names.join(summed, "feature", "left").select("feature", F.coalesce(F.col("psi"), F.lit(0.0)).alias("psi"))
+
+
 def psi_report(reference: DataFrame, target: DataFrame, cols: Sequence[str] | None = None, buckets: int = PSI_BUCKETS,
                relative_error: float = DEFAULT_RELATIVE_ERROR) -> DataFrame:
     """(feature, psi) for every candidate column; 0.0 when a side is empty or edges collapse."""
