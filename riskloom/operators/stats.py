@@ -55,8 +55,8 @@ def safe_corr(x: Column, y: Column) -> Column:
 def value_counts(df: DataFrame, col: str) -> DataFrame:
     """(value, n_rows, pct): counts and percentage of all rows (nulls are a value)."""
     counts = df.groupBy(F.col(col)).agg(F.count(F.lit(1)).alias("n_rows"))
-    total = F.sum("n_rows").over(Window.partitionBy())  # over the small result: one row per class
-    return counts.select(col, "n_rows", (F.col("n_rows") * 100.0 / total).alias("pct"))
+    total = counts.agg(F.sum("n_rows")).first()[0] or 0  # one number
+    return counts.select(col, "n_rows", F.try_divide(F.col("n_rows") * 100.0, F.lit(float(total))).alias("pct"))
 
 
 # ---------------------------------------------------------------------------
