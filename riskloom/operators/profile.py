@@ -11,47 +11,68 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..functions.expr import type_name
+from ..functions.expr import sql_ident, sql_str, type_name
 
 PROFILE_SCHEMA = "feature string, null_pct double, approx_cardinality bigint, data_type string"
 
 
-def _stack(df: DataFrame, cols: Sequence[str], by: Sequence[str], types: dict[str, str]) -> DataFrame:
-    entries = ", ".join(
-        f"'{c}', `__n_{i}`, `__d_{i}`, '{types[c]}'" for i, c in enumerate(cols)
-    )
-    keep = [f"`{b}`" for b in by]
-    return df.selectExpr(*keep, f"stack({len(cols)}, {entries}) as (feature, null_pct, approx_cardinality, data_type)")
+def _null_pct_sql(ident: str) -> str:
+    """Null percentage of one column; null (not a division error) over zero rows."""
+    return f"try_divide(CAST(count_if({ident} IS NULL) AS DOUBLE) * 100.0D, CAST(count(1) AS DOUBLE))"
+
+
+def _value_sql(field: T.StructField, exact: bool) -> str:
+    """One column as the profile's value: a string (exact distinct) or a 64-bit hash (HLL++)."""
+    ident = sql_ident(field.name)
+    if exact:
+        # + 0.0 folds -0.0 into 0.0, which SQL DISTINCT treats as one value
+        v = f"({ident} + 0.0D)" if isinstance(field.dataType, (T.DoubleType, T.FloatType)) else ident
+        return f"CAST({v} AS STRING)"
+    return f"CASE WHEN {ident} IS NOT NULL THEN xxhash64({ident}) END"
 
 
 def basic_profile(df: DataFrame, exact: bool = False, by: Sequence[str] = ()) -> DataFrame:
     """Per column: null percentage, distinct count (HLL++ 5 % by default, exact when asked), type name.
 
-    Zero rows give a null percentage of null (never a division error); no columns give an empty frame.
+    Plan: one scan; ``stack`` unpivots every row into (feature, value) inside the
+    scan's pipeline, and one aggregate on (by, feature) counts rows, nulls and
+    distinct values; partial aggregation collapses each task to one row per
+    (group, feature) before the shuffle (exact: one row per distinct value).
+    The long form is several times faster than one wide aggregate of 2n
+    functions (HLL++ buffers do not code-generate, and n distinct counts become
+    an n-way ``Expand``).  The per-feature rows are then packed into one map per
+    group (at most one entry per column) and stacked back, so every column gets
+    a row even over zero input rows: null percentage null, distinct count 0.
     """
     spark = df.sparkSession
     by = list(by)
-    cols = [c for c in df.columns if c not in by]
-    if not cols:
+    fields = [f for f in df.schema.fields if f.name not in by]
+    if not fields:
         return spark.createDataFrame([], PROFILE_SCHEMA)
-    types = {f.name: type_name(f.dataType) for f in df.schema.fields}
-    total = F.count(F.lit(1))
-    aggs = []
-    for i, c in enumerate(cols):
-        nulls = F.count_if(F.col(c).isNull())
-        aggs.append(F.try_divide(nulls.cast("double") * 100.0, total.cast("double")).alias(f"__n_{i}"))
-        distinct = F.count_distinct(F.col(c)) if exact else F.approx_count_distinct(F.col(c))
-        aggs.append(distinct.cast("long").alias(f"__d_{i}"))
-    wide = df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
-    return _stack(wide, cols, by, types)
+    entries = ", ".join(f"{sql_str(f.name)}, {_value_sql(f, exact)}" for f in fields)
+    keep = [sql_ident(b) for b in by]
+    long = df.selectExpr(*keep, f"stack({len(fields)}, {entries}) AS (feature, v)")
+    distinct = F.count_distinct("v") if exact else F.approx_count_distinct("v")
+    stats = long.groupBy(*by, "feature").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("v").isNull()).alias("nulls"), distinct.alias("d")
+    )
+    entry = F.struct("feature", F.struct("n", "nulls", "d"))
+    pack = F.map_from_entries(F.collect_list(entry)).alias("m")  # <= one entry per column
+    packed = stats.groupBy(*by).agg(pack) if by else stats.agg(pack)
+    rows = []
+    for f in fields:
+        s = f"try_element_at(m, {sql_str(f.name)})"
+        null_pct = f"try_divide(CAST({s}.nulls AS DOUBLE) * 100.0D, CAST({s}.n AS DOUBLE))"
+        rows.append(f"{sql_str(f.name)}, {null_pct}, CAST(coalesce({s}.d, 0) AS BIGINT), {sql_str(type_name(f.dataType))}")
+    return packed.selectExpr(*keep, f"stack({len(fields)}, {', '.join(rows)}) AS (feature, null_pct, approx_cardinality, data_type)")
 
 
 def null_percentages(df: DataFrame) -> DataFrame:
     """(feature, null_pct) for every column, one aggregate."""
     cols = df.columns
-    total = F.count(F.lit(1)).cast("double")
-    wide = df.agg(*[F.try_divide(F.count_if(F.col(c).isNull()).cast("double") * 100.0, total).alias(f"__n_{i}") for i, c in enumerate(cols)])
+    wide = df.selectExpr(*[f"{_null_pct_sql(sql_ident(c))} AS `__n_{i}`" for i, c in enumerate(cols)])
     entries = ", ".join(f"'{c}', `__n_{i}`" for i, c in enumerate(cols))
     return wide.selectExpr(f"stack({len(cols)}, {entries}) as (feature, null_pct)")
 

@@ -23,6 +23,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.expr import sql_ident
+
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
 
@@ -47,6 +49,13 @@ def safe_corr(x: Column, y: Column) -> Column:
     return F.when(den > 0, F.covar_pop(x, y) / den)
 
 
+def safe_corr_sql(a: str, b: str) -> str:
+    """SQL text of :func:`safe_corr` for two column names (one parse JVM-side, no Column tree)."""
+    x, y = f"CAST({sql_ident(a)} AS DOUBLE)", f"CAST({sql_ident(b)} AS DOUBLE)"
+    den = f"(stddev_pop(CASE WHEN {y} IS NOT NULL THEN {x} END) * stddev_pop(CASE WHEN {x} IS NOT NULL THEN {y} END))"
+    return f"CASE WHEN {den} > 0 THEN covar_pop({x}, {y}) / {den} END"
+
+
 # ---------------------------------------------------------------------------
 # class balance
 # ---------------------------------------------------------------------------
@@ -67,7 +76,7 @@ def value_counts(df: DataFrame, col: str) -> DataFrame:
 def corr_with_target(df: DataFrame, target: str = "TARGET", top_k: int | None = 10) -> DataFrame:
     """(feature, corr, abs_corr): Pearson correlation of every numeric column with ``target``, |r| ranked."""
     cols = numeric_columns(df, exclude=[target])
-    wide = df.agg(*[safe_corr(F.col(c), F.col(target)).alias(f"__c{i}") for i, c in enumerate(cols)])
+    wide = df.selectExpr(*[f"{safe_corr_sql(c, target)} AS `__c{i}`" for i, c in enumerate(cols)])
     entries = ", ".join(f"'{c}', `__c{i}`" for i, c in enumerate(cols))
     long = wide.selectExpr(f"stack({len(cols)}, {entries}) as (feature, corr)")
     long = long.select("feature", _nan_to_null(F.col("corr")).alias("corr")).filter(F.col("corr").isNotNull())
@@ -83,7 +92,7 @@ def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
     if not pairs:
         return df.sparkSession.createDataFrame([(c, c, 1.0) for c in cols], "feature_a string, feature_b string, corr double")
-    wide = df.agg(*[safe_corr(F.col(a), F.col(b)).alias(f"__p{i}") for i, (a, b) in enumerate(pairs)])
+    wide = df.selectExpr(*[f"{safe_corr_sql(a, b)} AS `__p{i}`" for i, (a, b) in enumerate(pairs)])
     entries = []
     for i, (a, b) in enumerate(pairs):
         entries += [f"'{a}', '{b}', `__p{i}`", f"'{b}', '{a}', `__p{i}`"]
@@ -101,10 +110,10 @@ def moments(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     cols = list(cols)
     aggs = []
     for i, c in enumerate(cols):
-        x = F.col(c).cast("double")
-        aggs += [F.count(x).alias(f"__n{i}"), F.skewness(x).alias(f"__s{i}"), F.kurtosis(x).alias(f"__k{i}"),
-                 (F.min(x) == F.max(x)).alias(f"__z{i}")]
-    wide = df.agg(*aggs)
+        x = f"CAST({sql_ident(c)} AS DOUBLE)"
+        aggs += [f"count({x}) AS `__n{i}`", f"skewness({x}) AS `__s{i}`", f"kurtosis({x}) AS `__k{i}`",
+                 f"(min({x}) = max({x})) AS `__z{i}`"]
+    wide = df.selectExpr(*aggs)  # a global aggregate, sent as SQL text in one call
     entries = ", ".join(f"'{c}', `__n{i}`, `__s{i}`, `__k{i}`, `__z{i}`" for i, c in enumerate(cols))
     long = wide.selectExpr(f"stack({len(cols)}, {entries}) as (feature, n, skewness, kurtosis, constant)")
     # a constant column has no shape: null, not NaN or rounding noise

@@ -27,6 +27,9 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8, app_na
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.sql.parquet.compression.codec", "snappy")
         .config("spark.ui.enabled", "false")
+        # Python call-site capture for error messages costs several py4j round trips per
+        # Column function; wide generated plans pay seconds of driver time for it.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
     )
     if master:
