@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.expr import sql_ident
+from ..functions.expr import sql_ident, sql_str
 
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
@@ -73,49 +73,87 @@ def value_counts(df: DataFrame, col: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 
+def _long_numeric(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
+    """(keep.., feature, x): every column unpivoted with ``stack`` inside the scan's pipeline.
+
+    Column statistics run on this long form as one aggregate grouped by feature:
+    partial aggregation leaves one row per feature per task, so the shuffle is
+    tasks x features rows.  The wide alternative (one aggregate holding several
+    functions per column) generates a method too large for the JIT and runs
+    several times slower.
+    """
+    entries = ", ".join(f"{sql_str(c)}, CAST({sql_ident(c)} AS DOUBLE)" for c in cols)
+    return df.selectExpr(*keep, f"stack({len(cols)}, {entries}) AS (feature, x)")
+
+
+def _pack(stats: DataFrame, key: str, fields: Sequence[str]) -> DataFrame:
+    """One row holding ``key -> struct(fields)`` for a per-key result with at most one row per column.
+
+    A global aggregate always returns a row, so stacking the map back gives every
+    column its row even when the input had none (the map is bounded by the column count).
+    """
+    return stats.agg(F.map_from_entries(F.collect_list(F.struct(key, F.struct(*fields)))).alias("m"))
+
+
+def _entry(key: str) -> str:
+    return f"try_element_at(m, {sql_str(key)})"
+
+
 def corr_with_target(df: DataFrame, target: str = "TARGET", top_k: int | None = 10) -> DataFrame:
     """(feature, corr, abs_corr): Pearson correlation of every numeric column with ``target``, |r| ranked."""
     cols = numeric_columns(df, exclude=[target])
-    wide = df.selectExpr(*[f"{safe_corr_sql(c, target)} AS `__c{i}`" for i, c in enumerate(cols)])
-    entries = ", ".join(f"'{c}', `__c{i}`" for i, c in enumerate(cols))
-    long = wide.selectExpr(f"stack({len(cols)}, {entries}) as (feature, corr)")
-    long = long.select("feature", _nan_to_null(F.col("corr")).alias("corr")).filter(F.col("corr").isNotNull())
-    ranked = long.select("feature", "corr", F.abs("corr").alias("abs_corr"))
+    if not cols:
+        return df.sparkSession.createDataFrame([], "feature string, corr double, abs_corr double")
+    long = _long_numeric(df, cols, keep=[f"CAST({sql_ident(target)} AS DOUBLE) AS y"])
+    per = long.groupBy("feature").agg(F.expr(safe_corr_sql("x", "y")).alias("corr"))
+    per = per.select("feature", _nan_to_null(F.col("corr")).alias("corr")).filter(F.col("corr").isNotNull())
+    ranked = per.select("feature", "corr", F.abs("corr").alias("abs_corr"))
     if top_k is not None:
         ranked = ranked.orderBy(F.col("abs_corr").desc(), F.col("feature")).limit(top_k)
     return ranked
 
 
 def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """(feature_a, feature_b, corr) for all ordered pairs; diagonal 1.0.  One aggregate of n(n-1)/2 corr."""
+    """(feature_a, feature_b, corr) for all ordered pairs; diagonal 1.0.
+
+    The n(n-1)/2 pairs are unpivoted as (pair, x, y) and correlated in one aggregate grouped by pair.
+    """
     cols = list(cols)
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
     if not pairs:
         return df.sparkSession.createDataFrame([(c, c, 1.0) for c in cols], "feature_a string, feature_b string, corr double")
-    wide = df.selectExpr(*[f"{safe_corr_sql(a, b)} AS `__p{i}`" for i, (a, b) in enumerate(pairs)])
-    entries = []
+    entries = ", ".join(f"{sql_str(f'p{i}')}, CAST({sql_ident(a)} AS DOUBLE), CAST({sql_ident(b)} AS DOUBLE)"
+                        for i, (a, b) in enumerate(pairs))
+    long = df.selectExpr(f"stack({len(pairs)}, {entries}) AS (pair, x, y)")
+    per = long.groupBy("pair").agg(F.expr(safe_corr_sql("x", "y")).alias("corr"))
+    rows = []
     for i, (a, b) in enumerate(pairs):
-        entries += [f"'{a}', '{b}', `__p{i}`", f"'{b}', '{a}', `__p{i}`"]
-    entries += [f"'{c}', '{c}', CAST(1.0 AS DOUBLE)" for c in cols]
-    long = wide.selectExpr(f"stack({len(entries)}, {', '.join(entries)}) as (feature_a, feature_b, corr)")
-    return long.select("feature_a", "feature_b", _nan_to_null(F.col("corr")).alias("corr"))
+        v = f"{_entry(f'p{i}')}.corr"
+        rows += [f"{sql_str(a)}, {sql_str(b)}, {v}", f"{sql_str(b)}, {sql_str(a)}, {v}"]
+    rows += [f"{sql_str(c)}, {sql_str(c)}, CAST(1.0 AS DOUBLE)" for c in cols]
+    out = _pack(per, "pair", ["corr"]).selectExpr(f"stack({len(rows)}, {', '.join(rows)}) AS (feature_a, feature_b, corr)")
+    return out.select("feature_a", "feature_b", _nan_to_null(F.col("corr")).alias("corr"))
 
 
 def moments(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """(feature, n, skewness, kurtosis, jarque_bera, jb_p_value) per column, one aggregate.
+    """(feature, n, skewness, kurtosis, jarque_bera, jb_p_value) per column, one aggregate grouped by feature.
 
     Skewness is the population (biased) one; kurtosis is excess kurtosis.
     Jarque-Bera = n/6 (S^2 + K^2/4); its chi-squared(2) p-value is exp(-JB/2).
     """
     cols = list(cols)
-    aggs = []
-    for i, c in enumerate(cols):
-        x = f"CAST({sql_ident(c)} AS DOUBLE)"
-        aggs += [f"count({x}) AS `__n{i}`", f"skewness({x}) AS `__s{i}`", f"kurtosis({x}) AS `__k{i}`",
-                 f"(min({x}) = max({x})) AS `__z{i}`"]
-    wide = df.selectExpr(*aggs)  # a global aggregate, sent as SQL text in one call
-    entries = ", ".join(f"'{c}', `__n{i}`, `__s{i}`, `__k{i}`, `__z{i}`" for i, c in enumerate(cols))
-    long = wide.selectExpr(f"stack({len(cols)}, {entries}) as (feature, n, skewness, kurtosis, constant)")
+    if not cols:
+        return df.sparkSession.createDataFrame(
+            [], "feature string, n bigint, skewness double, kurtosis double, jarque_bera double, jb_p_value double")
+    per = _long_numeric(df, cols).groupBy("feature").agg(
+        F.count("x").alias("n"), F.skewness("x").alias("s"), F.kurtosis("x").alias("k"),
+        (F.min("x") == F.max("x")).alias("z"),
+    )
+    rows = ", ".join(
+        f"{sql_str(c)}, coalesce({_entry(c)}.n, 0), {_entry(c)}.s, {_entry(c)}.k, {_entry(c)}.z" for c in cols
+    )
+    long = _pack(per, "feature", ["n", "s", "k", "z"]).selectExpr(
+        f"stack({len(cols)}, {rows}) AS (feature, n, skewness, kurtosis, constant)")
     # a constant column has no shape: null, not NaN or rounding noise
     flat = F.coalesce(F.col("constant"), F.lit(True))
     s = F.when(flat, F.lit(None).cast("double")).otherwise(_nan_to_null(F.col("skewness")))
