@@ -144,6 +144,27 @@ def test_chi2_sf_closed_forms(spark):
         assert out[f"d{d}"] == pytest.approx(v, rel=1e-5)
 
 
+def test_chi2_sf_for_a_dof_column_equals_closed_forms(spark):
+    rows = [(x, d) for x in (0.0, 0.7, 3.0, 11.5) for d in range(0, 13)]
+    df = spark.createDataFrame(rows, "x double, dof int")
+    got = {(r.x, r.dof): r.p for r in df.select("x", "dof", ST.chi2_sf_any("x", "dof").alias("p")).collect()}
+    for x, d in rows:
+        want = df.filter((F.col("x") == x) & (F.col("dof") == d)).select(ST.chi2_sf(F.col("x"), d).alias("p")).first()["p"]
+        assert got[(x, d)] == want, (x, d)  # same terms in the same order: bit-identical
+
+
+def test_chi2_vs_target_builds_without_a_job(spark):
+    df = spark.createDataFrame([("a", 0), ("a", 1), ("b", 1), ("c", 0)], "cat string, TARGET int")
+    sc = spark.sparkContext
+    sc.setJobGroup("chi2-build", "chi2-build")
+    try:
+        out = ST.chi2_vs_target(df, ["cat"], "TARGET")
+        assert sc.statusTracker().getJobIdsForGroup("chi2-build") == []  # no pass over the data to plan it
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    assert out.first()["dof"] == 2
+
+
 def test_auc_and_report(spark):
     df = spark.createDataFrame([(0, 0.1), (0, 0.4), (1, 0.4), (1, 0.8)], "y int, score double")
     assert EV.roc_auc(df, "y", "score").first()["auc"] == pytest.approx(0.875)
