@@ -165,6 +165,25 @@ def test_chi2_vs_target_builds_without_a_job(spark):
     assert out.first()["dof"] == 2
 
 
+def test_long_form_statistics(spark):
+    rows = [(1.0, 2.0, 5.0, 0), (2.0, 4.0, 5.0, 1), (4.0, None, 5.0, 1), (None, 1.0, 5.0, 0)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, TARGET int")
+    m = {r.feature: r for r in ST.moments(df, ["a", "b", "c"]).collect()}
+    assert m["a"].n == 3 and m["a"].skewness == pytest.approx(0.3818018, rel=1e-6)  # population skewness of 1, 2, 4
+    assert m["c"].n == 4 and m["c"].skewness is None and m["c"].kurtosis is None  # constant column
+    corr = {r.feature: r.corr for r in ST.corr_with_target(df, "TARGET", top_k=None).collect()}
+    assert set(corr) == {"a", "b"}  # constant c has no correlation
+    assert corr["a"] == pytest.approx(0.7559289, rel=1e-6)  # complete pairs (1,0), (2,1), (4,1)
+    mat = {(r.feature_a, r.feature_b): r.corr for r in ST.corr_matrix(df, ["a", "b", "c"]).collect()}
+    assert len(mat) == 9 and mat[("a", "a")] == 1.0 and mat[("a", "b")] == mat[("b", "a")] == pytest.approx(1.0)
+    assert mat[("a", "c")] is None
+    empty = spark.createDataFrame([], "a double, b double")
+    e = ST.moments(empty, ["a", "b"]).collect()
+    assert sorted(r.feature for r in e) == ["a", "b"] and all(r.n == 0 and r.skewness is None for r in e)
+    em = ST.corr_matrix(empty, ["a", "b"]).collect()
+    assert len(em) == 4 and [r.corr for r in em if r.feature_a != r.feature_b] == [None, None]
+
+
 def test_auc_and_report(spark):
     df = spark.createDataFrame([(0, 0.1), (0, 0.4), (1, 0.4), (1, 0.8)], "y int, score double")
     assert EV.roc_auc(df, "y", "score").first()["auc"] == pytest.approx(0.875)
