@@ -73,14 +73,22 @@ def quantile_edges(df: DataFrame, cols: Sequence[str], buckets: int = PSI_BUCKET
         rows = [(c, i, p, float(v)) for c, vals in zip(cols, qs) for i, (p, v) in enumerate(zip(ps, vals))]
         return spark.createDataFrame(rows, schema)
     values = _long_values(df, cols).filter(F.col("value").isNotNull())
-    ranked = ordered_scan(values, ["feature"], [F.col("value")], rank_col="rank")
-    counts = values.groupBy("feature").agg(F.count(F.lit(1)).alias("n"))
+    # Order statistics need cumulative counts, not a rank per row: repeated values are
+    # collapsed first (partial aggregation), and the skew-safe ordered scan runs over the
+    # distinct (feature, value) pairs, which is unique and so needs no tie-break.
+    distinct = values.groupBy("feature", "value").agg(F.count(F.lit(1)).cast("double").alias("cnt"))
+    cum = ordered_scan(distinct, ["feature"], [F.col("value")], sum_cols=["cnt"], rank_col="_pos")
+    cum = cum.select("feature", "value", F.col("cnt").cast("long").alias("cnt"), F.col("cnt_running").cast("long").alias("upto"))
+    counts = cum.groupBy("feature").agg(F.max("upto").alias("n"))  # from the frozen scan: no second pass
     grid = F.array(*[F.struct(F.lit(i).alias("q_index"), F.lit(p).alias("p")) for i, p in enumerate(ps)])
     # features x probabilities: a bounded table (<= 50 x (buckets+1) rows)
     targets = counts.select("feature", "n", F.inline(grid)).select(
-        "feature", "q_index", "p", F.greatest(F.lit(1), F.ceil(F.col("p") * F.col("n"))).cast("long").alias("rank")
+        F.col("feature").alias("t_feature"), "q_index", "p",
+        F.greatest(F.lit(1), F.ceil(F.col("p") * F.col("n"))).cast("long").alias("rank"),
     )
-    return ranked.join(F.broadcast(targets), on=["feature", "rank"], how="inner").select("feature", "q_index", "p", "value")
+    # the value whose cumulative-count interval (upto - cnt, upto] holds the target rank
+    hit = (F.col("feature") == F.col("t_feature")) & (F.col("upto") - F.col("cnt") < F.col("rank")) & (F.col("rank") <= F.col("upto"))
+    return cum.join(F.broadcast(targets), hit, "inner").select("feature", "q_index", "p", "value")
 
 
 def _edges_by_feature(edges: DataFrame) -> dict[str, list[float]]:
