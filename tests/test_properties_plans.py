@@ -2,6 +2,7 @@
 
 import math
 import random
+import re
 
 import pytest
 from pyspark.sql import Window
@@ -93,6 +94,27 @@ def test_rollups_shuffle_only_on_keys(spark, raw):
     assert "Exchange" in inst._jdf.queryExecution().executedPlan().toString()
 
 
+def test_column_statistics_are_one_grouped_aggregate_over_a_long_form(spark, raw):
+    from riskloom.operators import profile as P
+    from riskloom.operators import stats as ST
+
+    df = A.build_master_dataset(raw, check_master=False).select(
+        "SPLIT", "TARGET", "AMT_INCOME_TOTAL", "REGION_ID", "bureau_active_rate", "ip_delay_max")
+    cols = ["AMT_INCOME_TOTAL", "REGION_ID", "bureau_active_rate", "ip_delay_max"]
+    plans = {
+        "profile_exact": P.basic_profile(df, exact=True, by=["SPLIT"]),
+        "profile_approx": P.basic_profile(df, exact=False, by=["SPLIT"]),
+        "corr": ST.corr_with_target(df, "TARGET", top_k=None),
+        "moments": ST.moments(df, cols),
+    }
+    for name, out in plans.items():
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "stack(" in plan, name  # unpivoted inside the scan's pipeline
+        assert "Expand" not in plan, name  # no n-way row copies for distinct counts
+        assert plan.count("FileScan parquet [c_custkey") == 1, name  # the master is read once
+        assert re.search(r"keys=\[(SPLIT#\d+, )?feature#\d+", plan), name  # grouped by feature
+
+
 def test_filters_and_pruning_reach_scan(spark):
     t = td.TestTables(spark, SMALL)
     ref = td.drift_reference(t).select("AMT_QUANTITY")
