@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,9 +40,14 @@ def start_drift_monitor(
     profile.counts = frozen
 
     def score(batch: DataFrame, batch_id: int) -> None:
-        n = batch.count()
-        report = psi_status(psi_from_profile(profile, batch)).withColumn("rows_in_batch", F.lit(n).cast("long"))
-        report.write.mode("overwrite").parquet(f"{output_dir.rstrip('/')}/batch_id={batch_id}")
+        # two actions on one micro-batch: keep it (memory, spilling to disk) instead of re-reading its files
+        batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            n = batch.count()
+            report = psi_status(psi_from_profile(profile, batch)).withColumn("rows_in_batch", F.lit(n).cast("long"))
+            report.write.mode("overwrite").parquet(f"{output_dir.rstrip('/')}/batch_id={batch_id}")
+        finally:
+            batch.unpersist()
 
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source_dir)
     writer = stream.writeStream.foreachBatch(score).option("checkpointLocation", checkpoint_location)
