@@ -1,8 +1,9 @@
 """Single-pass column profiles.
 
-The whole profile is one aggregate (two expressions per column) over one scan,
-then ``stack`` turns the single wide row into one row per column.  With
-``by`` (e.g. the split) the same pass profiles every group.
+One scan: every row is unpivoted with ``stack`` into (feature, value) and one
+aggregate grouped by feature counts rows, nulls and distinct values.  With
+``by`` (e.g. the split) the same pass profiles every group.  The null report
+(one declarative count per column) stays a single wide aggregate.
 """
 
 from __future__ import annotations

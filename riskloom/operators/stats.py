@@ -1,7 +1,9 @@
 """Exploratory statistics as Spark aggregates (single pass wherever possible).
 
-* correlations: one aggregate of ``corr`` expressions (pairwise complete);
-* moments (skewness, kurtosis, Jarque-Bera): one aggregate for all columns;
+* correlations (pairwise complete) and moments (skewness, kurtosis, Jarque-Bera):
+  the columns are unpivoted with ``stack`` and reduced by one aggregate grouped by
+  feature (or by column pair), so partial aggregation leaves one row per feature
+  per task;
 * contingency tables, chi-squared and Cramer's V: the categorical columns are
   unpivoted with a ``Generate`` and counted with partial + final aggregation,
   so only (column, value, class) counts are shuffled -- never the rows;
@@ -11,7 +13,8 @@
 Chi-squared p-values use the closed forms of the chi-squared survival function
 (even degrees of freedom: a finite Poisson sum; odd: erfc plus a finite sum);
 erfc is the Chebyshev fit of Numerical Recipes (fractional error < 1.2e-7).
-Everything is built-in ``Column`` arithmetic, no UDF.
+For a column of degrees of freedom the series runs as a SQL ``aggregate`` over a
+``sequence``. Everything is built-in Spark SQL, no UDF.
 """
 
 from __future__ import annotations
