@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.expr import PSI_FLOOR, bucket_label, psi_term
+from ..functions.expr import PSI_FLOOR, psi_term, sql_ident, sql_str
 from .ordered import ordered_scan
 
 # Drift candidate prefixes, column cap, bucket count, alert levels.
@@ -111,9 +111,23 @@ class ReferenceProfile:
     counts: DataFrame  # (feature, bucket, ref_count)
 
 
+def _double_sql(v: float) -> str:
+    """Exact SQL double literal (shortest round-trip text)."""
+    if math.isinf(v):
+        return "CAST('Infinity' AS DOUBLE)" if v > 0 else "CAST('-Infinity' AS DOUBLE)"
+    return f"{float(v)!r}D"
+
+
+def bucket_label_sql(ident: str, edges: Sequence[float]) -> str:
+    """SQL text of :func:`bucket_label` (same ladder: null -> 'missing', first ``x <= edge`` -> 'b{i}')."""
+    whens = " ".join(f"WHEN {ident} <= {_double_sql(e)} THEN 'b{i}'" for i, e in enumerate(edges))
+    return f"CASE WHEN {ident} IS NULL THEN 'missing' {whens} ELSE 'b{len(edges)}' END"
+
+
 def _bucketed(df: DataFrame, interior: dict[str, list[float]]) -> DataFrame:
-    pairs = F.array(*[F.struct(F.lit(f).alias("feature"), bucket_label(f, edges).alias("bucket")) for f, edges in interior.items()])
-    return df.select(F.inline(pairs))
+    """(feature, bucket) for every row and feature: one ``stack`` sent as SQL text."""
+    entries = ", ".join(f"{sql_str(f)}, {bucket_label_sql(sql_ident(f), edges)}" for f, edges in interior.items())
+    return df.selectExpr(f"stack({len(interior)}, {entries}) AS (feature, bucket)")
 
 
 def reference_profile(reference: DataFrame, cols: Sequence[str], buckets: int = PSI_BUCKETS,
