@@ -2,13 +2,21 @@
 
 from __future__ import annotations
 
+from .ann import op9_nn_descent
+from .chat import op8_chat_turns
+from .katz import op3_katz
 from .mixing import op10_source_mix
 from .near_dup import op5_near_dup
 from .packing import op1_packing
 from .pii import op7_pii_spans
 from .quality import op2_line_quality
+from .toxicity import op6_toxicity
+from .warc import op4_warc
 
-QUERIES = {f.__name__: f for f in (op1_packing, op2_line_quality, op5_near_dup, op7_pii_spans, op10_source_mix)}
+QUERIES = {
+    f.__name__: f
+    for f in (op1_packing, op2_line_quality, op3_katz, op4_warc, op5_near_dup, op6_toxicity, op7_pii_spans, op8_chat_turns, op9_nn_descent, op10_source_mix)
+}
 
 #: DuckDB SQL by query.
 ORACLES: dict[str, str] = {}
