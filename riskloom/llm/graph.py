@@ -19,9 +19,9 @@ def components(edges: DataFrame, max_rounds: int = 200) -> DataFrame:
     labels = materialise(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("b")).select("node", F.least("node", "b").alias("component")), "labels")
     for _ in range(max_rounds):
         heard = both.join(labels.select(F.col("node").alias("b"), F.col("component").alias("heard")), "b").groupBy(F.col("a").alias("node")).agg(F.min("heard").alias("heard"))
-        near = materialise(labels.join(heard, "node").select("node", F.col("component").alias("old"), F.least("component", "heard").alias("component")), "labels")
-        root = near.select(F.col("node").alias("component"), F.col("component").alias("root"))
-        jumped = materialise(near.join(root, "component", "left").select("node", "old", F.coalesce("root", "component").alias("component")), "labels")
+        near = labels.join(heard, "node").select("node", F.col("component").alias("old"), F.least("component", "heard").alias("component"))
+        root = labels.select(F.col("node").alias("component"), F.col("component").alias("root"))
+        jumped = materialise(near.join(root, "component").select("node", "old", F.col("root").alias("component")), "labels")
         labels = jumped.select("node", "component")
         if jumped.where("old <> component").isEmpty():
             return labels

@@ -9,14 +9,14 @@ the first half-key is shared by two documents or more, so documents without near
 
 1. Equal sets form classes (grouping by a 128-bit fingerprint); only the smallest doc_id of a class, its
    representative, goes on.
-2. In each table key, all members are compared with the key's *leader*, its smallest member: linear in
-   the members.  Pairs whose sizes or 64-byte sketches cannot reach the threshold are dropped (a sketch only
-   prunes: pairs above the threshold fail it with probability under 1e-7), the others are compared
-   on full sets.
-3. Members not linked to their leader go to the next round without it.  Jaccard distance is a metric,
-   so a member at distance d from the leader can only be linked to members at distance d - 0.25 or more;
-   where those are in another component so far, such border pairs are compared as well.  Keys with few
-   members left compare all pairs; so do, at the last, keys that many rounds did not empty.
+2. Of table keys with the same members one stays.  In each, all members are compared with the key's *leader*,
+   its smallest member: linear in the members.  Pairs whose sizes or 64-byte sketches cannot reach the
+   threshold are dropped (a sketch only prunes: pairs at the threshold fail it with probability under
+   1e-6), the others are compared on full sets.
+3. The leader, compared with everybody, leaves its key.  Keys whose members are in one component by the links so
+   far are done; the others choose a leader from another component, which meets all members outside its own.
+   Keys with few members compare all pairs in one round; so do, at the last, keys that ``max_rounds`` did not
+   settle, so that no link is lost.
 4. Components of the links, by label propagation with joins.
 
 Defined cases: null and empty texts and those without words have an empty set, are linked with nothing and
@@ -140,66 +140,67 @@ def _same_bytes():
     return F.expr(f"aggregate(sequence(1, {SKETCH}), 0, (s, i) -> s + if(substring(sa, i, 1) = substring(sb, i, 1), 1, 0))")
 
 
-def verify(pairs: DataFrame, docs: DataFrame, sig: DataFrame, percent: int, floor: float = 0.5, bits: int = 24) -> DataFrame:
-    """(a, b) -> (a, b, inter, total): sizes of intersection and union, for pairs whose similarity may reach ``floor``."""
+def verify(pairs: DataFrame, docs: DataFrame, sig: DataFrame, percent: int, bits: int = 24) -> DataFrame:
+    """The pairs (a, b) whose full sets have a similarity of ``percent`` or more."""
     side = lambda x: sig.select(F.col("doc_id").alias(x), F.col("n").alias(f"n{x}"), F.col("sketch").alias(f"s{x}"))
-    near = pairs.join(side("a"), "a").join(side("b"), "b").where(F.least("na", "nb") >= F.lit(floor) * F.greatest("na", "nb"))
-    # A pair at ``floor`` has 64 * floor equal bytes on average; four standard deviations below are kept.
-    near = materialise(near.where(_same_bytes() >= SKETCH * floor - 4 * (SKETCH * floor * (1 - floor)) ** 0.5).select("a", "b", "na", "nb"), "near-pairs")
+    least = percent / 100
+    near = pairs.join(side("a"), "a").join(side("b"), "b").where(F.least("na", "nb") * 100 >= F.lit(percent) * F.greatest("na", "nb"))
+    # A pair at the threshold has SKETCH * least equal bytes on average; five standard deviations below are kept.
+    near = materialise(near.where(_same_bytes() >= SKETCH * least - 5 * (SKETCH * least * (1 - least)) ** 0.5).select("a", "b").distinct(), "near-pairs")
     wanted = _slots(near.select(F.col("a").alias("id")).union(near.select(F.col("b").alias("id"))), bits)
-    sets = shingle_sets(docs, wanted, bits).dropDuplicates(["id"])
-    sets = materialise(sets, "sets")
+    sets = shingle_sets(docs, wanted, bits)
     met = near.join(sets.select(F.col("id").alias("a"), F.col("set").alias("xa")), "a").join(sets.select(F.col("id").alias("b"), F.col("set").alias("xb")), "b")
-    inter = F.size(F.array_intersect("xa", "xb")).cast("long")
-    return materialise(met.select("a", "b", "na", "nb", inter.alias("inter")).select("a", "b", "inter", (F.col("na") + F.col("nb") - F.col("inter")).alias("total")), "verified")
+    inter = F.size(F.array_intersect("xa", "xb"))
+    linked = met.where(100 * inter >= percent * (F.size("xa") + F.size("xb") - inter)).select("a", "b")
+    return materialise(linked, "links")
 
 
 def table_keys(reps: DataFrame) -> DataFrame:
     """(key, id): a row for each hash table in which a representative may meet another."""
-    u = reps.select(F.col("doc_id").alias("id"), "v", F.explode("u").alias("ukey"))
+    u = reps.select(F.col("doc_id").alias("id"), F.explode("u").alias("ukey"))
     shared = materialise(u.groupBy("ukey").count().where("count > 1").select("ukey"), "half-keys")
-    return u.join(shared, "ukey").select("id", F.explode(F.transform("v", lambda x: F.xxhash64("ukey", x))).alias("key"))
+    met = u.join(shared, "ukey").join(reps.select(F.col("doc_id").alias("id"), "v"), "id")
+    return materialise(met.select("id", F.explode(F.transform("v", lambda x: F.xxhash64("ukey", x))).alias("key")), "table-keys")
 
 
-def links(reps: DataFrame, docs: DataFrame, percent: int = 75, small: int = 6, max_rounds: int = 8) -> DataFrame:
-    """Links (a, b), a < b, that join all representatives of similarity ``percent`` or more into the right components."""
-    sig = reps.select("doc_id", "n", "sketch")
+def _groups(keyed: DataFrame) -> DataFrame:
+    """(key, id, members) of keys with two members or more; of keys with the same members one stays."""
+    stats = keyed.groupBy("key").agg(F.min("id").alias("first"), F.count("*").alias("members"), F.bit_xor(F.xxhash64("id")).alias("print")).where("members > 1")
+    one = materialise(stats.groupBy("first", "members", "print").agg(F.min("key").alias("key")).select("key", "members"), "groups")
+    return materialise(keyed.join(one, "key"), "members")
+
+
+def links(reps: DataFrame, docs: DataFrame, percent: int = 75, small: int = 5, max_rounds: int = 3) -> DataFrame:
+    """Links (a, b) that join all representatives of similarity ``percent`` or more into the right components."""
+    sig = materialise(reps.select("doc_id", "n", "sketch"), "sketches")
+    members = _groups(table_keys(reps)).select("key", "id", F.col("id").alias("component"), "members", F.lit(0).alias("rank"))
     found = None
-    keyed = table_keys(reps)
-    border = None
     for round_ in range(max_rounds + 1):
-        last = round_ == max_rounds
-        leaders = keyed.groupBy("key").agg(F.min("id").alias("leader"), F.count("*").alias("members")).where("members > 1")
-        members = materialise(keyed.join(materialise(leaders, "leaders"), "key"), "members")
-        pairs = members.where("id <> leader").select(F.col("leader").alias("a"), F.col("id").alias("b"))
-        if round_:
-            few = members if last else members.where(F.col("members") <= small)
-            x, y = few.select("key", F.col("id").alias("a")), few.select("key", F.col("id").alias("b"))
-            pairs = pairs.union(x.join(y, "key").where("a < b").select("a", "b"))
-            members = members.where(F.lit(not last) & (F.col("members") > small))
-        if border is not None:
-            pairs = pairs.union(border)
-        checked = verify(pairs.distinct(), docs, sig, percent)
-        linked = checked.where(100 * F.col("inter") >= percent * F.col("total")).select("a", "b")
+        # Every key compares one leader with its members in other components; keys of few components all of theirs.
+        leaders = members.groupBy("key").agg(F.min(F.struct("rank", "id")).alias("l"))
+        leaders = materialise(leaders.select("key", F.col("l.id").alias("leader")), "leaders")
+        led = members.join(leaders, "key")
+        own = led.where("id = leader").select("key", F.col("component").alias("own"))
+        led = materialise(led.join(own, "key"), "led")
+        few = F.lit(round_ == max_rounds) | (F.col("members") <= small)
+        pairs = led.where(~few & (F.col("component") != F.col("own"))).select(F.least("leader", "id").alias("a"), F.greatest("leader", "id").alias("b"))
+        x, y = (led.where(few).select("key", F.col("id").alias(i), F.col("component").alias(f"c{i}")) for i in "ab")
+        pairs = pairs.union(x.join(y, "key").where("a < b and ca <> cb").select("a", "b"))
+        linked = verify(pairs.distinct(), docs, sig, percent)
         found = linked if found is None else materialise(found.union(linked), "links")
-        members = members.where("members > 2")
-        if members.isEmpty():
+        rest = led.where(~few & (F.col("id") != F.col("leader"))).select("key", "id", "members")
+        if rest.isEmpty():
             return found
-        label = components(found)
-        # Where all of a key's members are in one component nothing is left to find.
-        named = members.join(label.select(F.col("node").alias("id"), "component"), "id", "left").withColumn("component", F.coalesce("component", "id"))
-        named = materialise(named, "named")
-        mixed = materialise(named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("key"), "mixed-keys")
-        near = checked.select(F.col("a").alias("leader"), F.col("b").alias("id"), (F.col("inter") / F.col("total")).alias("s"))
-        open_ = materialise(named.join(mixed, "key").join(near, ["leader", "id"], "left").where("id <> leader"), "open-members")
+        label = components(found).select(F.col("node").alias("id"), "component")
+        # The leader is done with its key.  Keys left in one component are done.
+        named = materialise(rest.join(label, "id", "left").withColumn("component", F.coalesce("component", "id")), "named")
+        open_ = named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("left")).where("lo <> hi")
+        open_ = materialise(open_.select("key", "lo", "left"), "open-keys")
         if open_.isEmpty():
             return found
-        limit = percent / 100
-        own = open_.select("leader", "id", "component", F.coalesce("s", F.lit(0.0)).alias("s")).distinct()
-        out, into = own.where((F.col("s") < limit) & (F.col("s") >= 2 * limit - 1)).alias("o"), own.where(F.col("s") >= limit).alias("m")
-        reach = (F.col("o.leader") == F.col("m.leader")) & (F.col("o.component") != F.col("m.component")) & (F.col("m.s") <= F.col("o.s") + (1 - limit) + 1e-9)
-        border = materialise(out.join(into, reach).select(F.least("o.id", "m.id").alias("a"), F.greatest("o.id", "m.id").alias("b")).distinct(), "border")
-        keyed = open_.where(F.coalesce("s", F.lit(0.0)) < limit).select("key", "id")
+        # The next leader comes from another component than the first.
+        members = named.drop("members").join(open_, "key").select("key", "id", "component", F.col("left").alias("members"), (F.col("component") == F.col("lo")).cast("int").alias("rank"))
+        members = materialise(members, "members")
     return found
 
 
@@ -210,7 +211,7 @@ def near_duplicates(docs: DataFrame, percent: int = 75, tables: int = 16, rows:
     full = sig.where("n > 0 and doc_id is not null")
     sets = ["fp_a", "fp_b", "n"]
     classes = materialise(full.groupBy(*sets).agg(F.min("doc_id").alias("class_id"), F.count("*").alias("copies")), "classes")
-    reps = materialise(full.join(classes, sets).where("doc_id = class_id").select("doc_id", "n", "u", "v", "sketch").dropDuplicates(["doc_id"]), "representatives")
+    reps = materialise(full.join(classes, sets).where("doc_id = class_id").dropDuplicates(sets).select("doc_id", "n", "u", "v", "sketch"), "representatives")
     many = classes.where("copies > 1").select(*sets, "class_id")
     named = join_hot(sig, many, sets, F.col("doc_id")).select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.coalesce("class_id", "doc_id")).otherwise(F.col("doc_id")).alias("class_id"))
     named = materialise(named, "named-classes")
