@@ -27,9 +27,8 @@ from pyspark.sql import types as T
 from ..functions.expr import PSI_FLOOR, psi_term, sql_ident, sql_str
 from .ordered import ordered_scan
 
-# Drift candidate prefixes, column cap, bucket count, alert levels.
+# Drift candidate prefixes, bucket count, alert levels.
 DRIFT_PREFIXES = ("AMT_", "DAYS_", "EXT_SOURCE_", "REGION_", "CNT_", "OBS_", "DEF_")
-MAX_DRIFT_COLUMNS = 50
 PSI_BUCKETS = 10
 PSI_WARN = 0.1
 PSI_ALERT = 0.25
@@ -38,8 +37,8 @@ DEFAULT_RELATIVE_ERROR = 0.001
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
 
-def drift_candidates(reference: DataFrame, target: DataFrame, prefixes: Sequence[str] = DRIFT_PREFIXES, limit: int = MAX_DRIFT_COLUMNS) -> list[str]:
-    """Numeric columns named with a drift prefix and present on both sides (first ``limit``)."""
+def drift_candidates(reference: DataFrame, target: DataFrame, prefixes: Sequence[str] = DRIFT_PREFIXES, limit: int | None = None) -> list[str]:
+    """Numeric columns named with a drift prefix and present on both sides; all of them unless ``limit`` says how many."""
     tgt = set(target.columns)
     cols = [
         f.name

@@ -1,96 +1,30 @@
 """Skew-safe ordered scans: row numbers and running sums within (possibly hot) groups.
 
-A ``Window.partitionBy(key).orderBy(..)`` puts every row of one key into one task
-and buffers it there.  When one key may hold a third of all rows that task never
-finishes.  Instead:
-
-1. ``repartitionByRange`` on (key, order, tie-break): a hot key is cut across
-   many contiguous partitions of bounded size;
-2. ``mapInPandas`` walks each sorted partition once (Arrow batches) and emits the
-   *local* row number and running sums per key, carrying state across batches;
-3. that output is checkpointed to the shared checkpoint folder, which freezes
-   the range bounds, so the two passes below see identical partitions;
-4. one aggregate per partition (so at most one row per partition) gives the
-   first key, the last key and the last key's local totals; on the driver these
-   few rows turn into offsets for keys that continue from earlier partitions;
-5. the offset table (at most one row per partition, a proven bound) is
-   broadcast and added to the rows of each partition's first key.
-
-Global order (no key) is the same algorithm with one constant key.
+A ``Window.partitionBy(key).orderBy(..)`` puts every row of one key into one task.  When one key may hold a third
+of all rows that task never finishes.  Instead, with DataFrame functions alone:
+
+1. ``repartitionByRange`` on (key, order, tie-break) cuts a hot key across many contiguous ranges of bounded size,
+   and a reliable checkpoint freezes which row is in which range;
+2. a window over (range, key) numbers and sums the rows of each key within a range: no group is larger than a range;
+3. one aggregate gives each (range, key)'s totals, and a running sum over a key's ranges (at most one row per range)
+   gives what lies before each; only keys that go on from an earlier range have anything there, at most one per
+   range, so these few rows are broadcast and added.
+
+Keys stay in the JVM and are compared by Spark (nulls equal nulls), so their values and types are never altered.
+Global order (no key) is the same with ranges alone.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..session import ensure_checkpoint_dir
 
 PID = "_rl_pid"
-SEQ = "_rl_seq"
-RANK = "_rl_rank"
-FIRST = "_rl_first"
-
-
-def _key_hash(pdf: pd.DataFrame, key_cols: list[str]) -> np.ndarray:
-    if not key_cols:
-        return np.zeros(len(pdf), dtype="uint64")
-    return pd.util.hash_pandas_object(pdf[key_cols], index=False).to_numpy()
-
-
-def _local_running(key_cols: list[str], sum_cols: list[str], out_sum_cols: list[str]):
-    def run(batches):
-        carry_key = None  # hash of the last key seen in this partition
-        carry_cnt = 0
-        carry_sums = np.zeros(len(sum_cols))
-        seq0 = 0
-        in_first_run = True
-        for pdf in batches:
-            n = len(pdf)
-            if n == 0:
-                continue
-            h = _key_hash(pdf, key_cols)
-            starts = np.empty(n, dtype=bool)
-            starts[1:] = h[1:] != h[:-1]
-            starts[0] = carry_key is None or h[0] != carry_key
-            gid = np.cumsum(starts)
-            continues = not starts[0]
-            in_first = gid == gid[0]
-            idx = pd.Series(gid, index=pdf.index)
-            rank = pdf.groupby(idx).cumcount().to_numpy() + 1
-            if continues:
-                rank = rank + in_first * carry_cnt
-            pdf[SEQ] = np.arange(seq0, seq0 + n, dtype="int64")
-            pdf[RANK] = rank.astype("int64")
-            # rows of the partition's first key are its leading run
-            if in_first_run:
-                breaks = starts.copy()
-                if seq0 == 0:
-                    breaks[0] = False
-                cut = int(np.argmax(breaks)) if breaks.any() else n
-                first_mask = np.arange(n) < cut
-                in_first_run = not breaks.any()
-            else:
-                first_mask = np.zeros(n, dtype=bool)
-            pdf[FIRST] = first_mask
-            for i, (c, o) in enumerate(zip(sum_cols, out_sum_cols)):
-                vals = pdf[c].astype("float64").fillna(0.0)
-                run_sum = vals.groupby(idx).cumsum().to_numpy()
-                if continues:
-                    run_sum = run_sum + in_first * carry_sums[i]
-                pdf[o] = run_sum
-            carry_key = h[-1]
-            carry_cnt = int(rank[-1])
-            carry_sums = np.array([float(pdf[o].iloc[-1]) for o in out_sum_cols])
-            seq0 += n
-            yield pdf
-
-    return run
 
 
 def ordered_scan(
@@ -104,64 +38,35 @@ def ordered_scan(
 ) -> DataFrame:
     """Row number (1-based) and running sums per ``partition_cols`` group in ``order_cols`` order.
 
-    ``order_cols`` should end with a unique tie-break for a deterministic result.
-    Null sum inputs count as 0.
+    ``order_cols`` should end with a unique tie-break: rows equal in all of them cannot be cut apart by range, and
+    their order is left open.  Null sum inputs count as 0.
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = list(partition_cols)
-    orders = [F.col(c) if isinstance(c, str) else c for c in order_cols]
-    sort_exprs = [F.col(k).asc_nulls_first() for k in keys] + orders
-    ranged = df.repartitionByRange(n, *sort_exprs).sortWithinPartitions(*sort_exprs).withColumn(PID, F.spark_partition_id())
-    out_sums = [f"{c}{sum_suffix}" for c in sum_cols]
-    schema = T.StructType(
-        ranged.schema.fields
-        + [
-            T.StructField(SEQ, T.LongType(), False),
-            T.StructField(RANK, T.LongType(), False),
-            T.StructField(FIRST, T.BooleanType(), False),
-        ]
-        + [T.StructField(o, T.DoubleType(), True) for o in out_sums]
-    )
-    local = ranged.mapInPandas(_local_running(keys, list(sum_cols), out_sums), schema).checkpoint(eager=True)
-
-    key_struct = F.struct(*[F.col(k) for k in keys]) if keys else F.struct(F.lit(0).alias("k"))
-    per_part = (
-        local.groupBy(PID)
-        .agg(
-            F.min_by(key_struct, F.col(SEQ)).alias("first_key"),
-            F.max_by(F.struct(key_struct.alias("k"), F.col(RANK).alias("c"), *[F.col(o) for o in out_sums]), F.col(SEQ)).alias("last"),
-        )
-        .collect()
-    )
-    offsets = []
-    prev_key, prev_cnt, prev_sums = None, 0, [0.0] * len(out_sums)
-    for r in sorted(per_part, key=lambda r: r[PID]):
-        first_key, last = r["first_key"], r["last"]
-        carried = prev_key is not None and first_key == prev_key
-        if carried:
-            offsets.append((r[PID], prev_cnt, *prev_sums))
-        local_sums = [last[o] or 0.0 for o in out_sums]
-        if carried and last["k"] == first_key:
-            prev_cnt, prev_sums = prev_cnt + last["c"], [a + b for a, b in zip(prev_sums, local_sums)]
-        else:
-            prev_cnt, prev_sums = last["c"], local_sums
-        prev_key = last["k"]
-    off_schema = T.StructType(
-        [T.StructField(PID, T.IntegerType()), T.StructField("_off_cnt", T.LongType())]
-        + [T.StructField(f"_off_{o}", T.DoubleType()) for o in out_sums]
-    )
-    off_df = spark.createDataFrame(offsets, off_schema)  # <= one row per partition
-    joined = local.join(F.broadcast(off_df), on=PID, how="left")
-    carried_row = F.col(FIRST) & F.col("_off_cnt").isNotNull()
-    return joined.select(
-        *[F.col(c) for c in df.columns],
-        (F.col(RANK) + F.when(carried_row, F.col("_off_cnt")).otherwise(F.lit(0))).alias(rank_col),
-        *[(F.col(o) + F.when(carried_row, F.col(f"_off_{o}")).otherwise(F.lit(0.0))).alias(o) for o in out_sums],
-    )
-
-
-def row_rank(df: DataFrame, partition_cols: Sequence[str], order_col: str, tie_break: Sequence[str] = (), rank_col: str = "row_rank") -> DataFrame:
-    """Ascending row number per group (``add_row_rank``), skew-safe."""
+    orders = [F.col(c).asc_nulls_first() if isinstance(c, str) else c for c in order_cols]
+    ranged = df.repartitionByRange(n, *[F.col(k).asc_nulls_first() for k in keys], *orders)
+    ranged = ranged.withColumn(PID, F.spark_partition_id()).checkpoint(eager=True)
+
+    own = Window.partitionBy(PID, *keys).orderBy(*orders).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    value = {c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in sum_cols}
+    sums = {c: f"{c}{sum_suffix}" for c in sum_cols}
+    local = ranged.select("*", F.row_number().over(Window.partitionBy(PID, *keys).orderBy(*orders)).cast("long").alias(rank_col), *[F.sum(v).over(own).alias(sums[c]) for c, v in value.items()])
+
+    added = [rank_col, *sums.values()]
+    totals = ranged.groupBy(PID, *keys).agg(F.count(F.lit(1)).alias(rank_col), *[F.sum(v).alias(sums[c]) for c, v in value.items()])
+    earlier = Window.partitionBy(*keys).orderBy(PID).rowsBetween(Window.unboundedPreceding, -1)
+    before = totals.select(F.col(PID).alias("_p"), *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], *[F.sum(c).over(earlier).alias(f"_b_{c}") for c in added])
+    # At most one key of a range began before it, so there are no more rows than ranges.
+    before = F.broadcast(before.where(F.col(f"_b_{rank_col}").isNotNull()))
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)], F.col(PID) == F.col("_p"))
+    joined = local.join(before, same, "left")
+    return joined.select(*[F.col(c) for c in df.columns], *[(F.col(c) + F.coalesce(F.col(f"_b_{c}"), F.lit(0))).alias(c) for c in added])
+
+
+def row_rank(df: DataFrame, partition_cols: Sequence[str], order_col: str, tie_break: Sequence[str], rank_col: str = "row_rank") -> DataFrame:
+    """Ascending row number per group, skew-safe; ``tie_break`` columns make the order total, so they are required."""
+    if not tie_break:
+        raise ValueError("row_rank needs tie-break columns: rows of equal order cannot be cut apart")
     return ordered_scan(df, partition_cols, [F.col(order_col).asc_nulls_first(), *[F.col(c).asc_nulls_first() for c in tie_break]], rank_col=rank_col)

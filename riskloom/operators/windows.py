@@ -1,8 +1,8 @@
 """Last-row-per-key and linear trend per group.
 
 ``last_status`` is the bureau-balance "most recent status": an aggregate
-(``max_by``) instead of ``row_number() = 1`` plus a self-join -- no sort, no
-second shuffle, partial aggregation map-side.  Ties on the month are broken by
+(``max_by``) instead of ``row_number() = 1`` plus a self-join -- no second shuffle,
+partial aggregation map-side (sort-based, because its buffer holds text).  Ties on the month are broken by
 the larger status (null last), so the result is deterministic.
 """
 

@@ -21,7 +21,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import satellites as S
-from ..operators.checks import require_unique_keys, row_count_report, safe_left_join
+from ..operators.checks import require_unique_keys, row_count_report
+from ..session import scratch_table
 
 KEY = "SK_ID_CURR"
 
@@ -61,15 +62,6 @@ def assemble(master: DataFrame, satellites: list[tuple[str, DataFrame]], check_m
     return out
 
 
-def assemble_checked(master: DataFrame, satellites: list[tuple[str, DataFrame]]) -> DataFrame:
-    """Reference-strength variant: every join guarded by the two-sided uniqueness check."""
-    require_unique_keys(master, [KEY], "application")
-    out = master
-    for name, feats in satellites:
-        out = safe_left_join(out, feats, [KEY], name)
-    return out
-
-
 def build_master_dataset(raw: RawTables, split: str | None = None, check_master: bool = True) -> DataFrame:
     """Assembled table; ``split`` filters the master's ``SPLIT`` column when given."""
     master = raw.application
@@ -80,11 +72,9 @@ def build_master_dataset(raw: RawTables, split: str | None = None, check_master:
 
 
 def cardinality_report(raw: RawTables) -> DataFrame:
-    """Rows before and after assembly, per split, counted in one job."""
-    master = raw.application
-    out = assemble(master, build_satellites(raw), check_master=False)
-    reports = None
-    for split in ("train", "test"):
-        r = row_count_report(master.filter(F.col("SPLIT") == split), out.filter(F.col("SPLIT") == split), f"application_{split}")
-        reports = r if reports is None else reports.unionByName(r)
-    return reports
+    """Rows before and after assembly and columns after it, per split, counted on the written table.
+
+    The assembled table is written whole: counting a plan would let the optimiser drop the joins it is to check.
+    """
+    out = scratch_table(assemble(raw.application, build_satellites(raw), check_master=False), "assembled")
+    return row_count_report(raw.application, out, "SPLIT", "application")

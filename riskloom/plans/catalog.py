@@ -7,6 +7,7 @@ tables, so its work grows with the scale factor.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -332,8 +333,6 @@ def q_sink_parquet_roundtrip(spark, sf_dir):
 from ..operators import stats as ST  # noqa: E402
 
 CATEGORICAL_COLS = ["l_returnflag", "l_linestatus", "o_orderpriority", "o_orderstatus", "c_mktsegment"]
-HISTOGRAM_COLS = ["AMT_INCOME_TOTAL", "bureau_num_loans", "prev_app_recency_days_max", "ip_delay_max"]
-KS_COLS = ["AMT_INCOME_TOTAL", "bureau_active_rate", "ip_payment_ratio_mean"]
 
 
 def _train(spark, sf_dir):
@@ -350,10 +349,15 @@ def q_corr_with_target(spark, sf_dir):
     return round_doubles(ST.corr_with_target(_train(spark, sf_dir), "TARGET", top_k=10))
 
 
+def _ranked(train):
+    """The ten columns that go best with the target."""
+    return [r["feature"] for r in ST.corr_with_target(train, "TARGET", top_k=10).collect()]  # 10 names
+
+
 @register("corr_matrix", O.q_corr_matrix)
 def q_corr_matrix(spark, sf_dir):
     train = _train(spark, sf_dir)
-    top = [r["feature"] for r in ST.corr_with_target(train, "TARGET", top_k=10).collect()]  # 10 names
+    top = _ranked(train)
     return round_doubles(ST.corr_matrix(train, top + ["TARGET"]))
 
 
@@ -374,7 +378,8 @@ def q_jarque_bera(spark, sf_dir):
 
 @register("ks_normal")
 def q_ks_normal(spark, sf_dir):
-    return ST.ks_normal(_train(spark, sf_dir), KS_COLS)
+    train = _train(spark, sf_dir)
+    return ST.ks_normal(train, _ranked(train))
 
 
 @register("contingency_table", O.q_contingency_table)
@@ -394,12 +399,16 @@ def q_cramers_v(spark, sf_dir):
 
 @register("top_categories_by_target", O.q_top_categories)
 def q_top_categories(spark, sf_dir):
-    return ST.top_categories_by_target(td.application(td.TestTables(spark, sf_dir)), "REGION_ID", "TARGET", 10)
+    table = td.categorical(td.TestTables(spark, sf_dir))
+    best = ST.chi2_vs_target(table, CATEGORICAL_COLS, "TARGET").orderBy(F.desc("chi2"), "feature").limit(5).collect()  # 5 names
+    parts = [ST.top_categories_by_target(table, r["feature"], "TARGET", 10).select(F.lit(r["feature"]).alias("feature"), F.col(r["feature"]).cast("string").alias("category"), "TARGET", "n_rows") for r in best]
+    return reduce(DataFrame.unionByName, parts)
 
 
 @register("histogram_50", O.q_histogram_50)
 def q_histogram_50(spark, sf_dir):
-    return round_doubles(ST.histogram(_train(spark, sf_dir), HISTOGRAM_COLS, 50))
+    train = _train(spark, sf_dir)
+    return round_doubles(ST.histogram(train, _ranked(train), 50))
 
 
 @register("column_dictionary", O.q_column_dictionary)

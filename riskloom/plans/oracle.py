@@ -431,7 +431,8 @@ def q_drop_leaky() -> str:
 
 
 def q_row_counts() -> str:
-    return with_assembled([], """SELECT 'application_' || a.SPLIT AS table_name, a.n AS rows_before, m.n AS rows_after, a.n = m.n AS preserved
+    return with_assembled([], f"""SELECT 'application_' || a.SPLIT AS table_name, a.n AS rows_before, m.n AS rows_after,
+       CAST({len(ASSEMBLED_COLS)} AS INTEGER) AS n_columns, a.n = m.n AS preserved
 FROM (SELECT SPLIT, count(*) AS n FROM v_application GROUP BY SPLIT) a
 JOIN (SELECT SPLIT, count(*) AS n FROM f_master GROUP BY SPLIT) m ON a.SPLIT = m.SPLIT""")
 
@@ -619,7 +620,6 @@ def q_csv_parse_loss() -> str:
 # --------------------------------------------------------------------------
 
 CATEGORICAL_COLS = ["l_returnflag", "l_linestatus", "o_orderpriority", "o_orderstatus", "c_mktsegment"]
-HISTOGRAM_COLS = ["AMT_INCOME_TOTAL", "bureau_num_loans", "prev_app_recency_days_max", "ip_delay_max"]
 NUMERIC_MASTER = [c for c, k in ASSEMBLED_COLS if k in ("l", "i", "d") and c != "TARGET"]
 
 
@@ -785,24 +785,27 @@ UNION ALL {diag}"""
 
 
 def q_top_categories() -> str:
-    return with_views("""SELECT REGION_ID, TARGET, count(*) AS n_rows FROM v_application
-WHERE REGION_ID IN (SELECT REGION_ID FROM v_application WHERE REGION_ID IS NOT NULL
-                    GROUP BY REGION_ID ORDER BY count(*) DESC, REGION_ID LIMIT 10)
-GROUP BY REGION_ID, TARGET""", "v_application")
+    parts = [
+        f"""SELECT '{c}' AS feature, CAST({c} AS VARCHAR) AS category, TARGET, count(*) AS n_rows FROM v_categorical
+WHERE {c} IN (SELECT {c} FROM v_categorical WHERE {c} IS NOT NULL GROUP BY {c} ORDER BY count(*) DESC, {c} LIMIT 10)
+GROUP BY {c}, TARGET"""
+        for c in CATEGORICAL_COLS
+    ]
+    return with_views("\nUNION ALL\n".join(parts), "v_categorical")
 
 
 def q_histogram_50() -> str:
     parts = []
-    for c in HISTOGRAM_COLS:
+    for c in NUMERIC_MASTER:
         x = f"CAST({c} AS DOUBLE)"
         parts.append(f"""SELECT '{c}' AS feature, s.lo, s.hi,
        CASE WHEN s.hi = s.lo THEN 0 ELSE CAST(least(floor(({x} - s.lo) / (s.hi - s.lo) * 50), 49) AS INTEGER) END AS bin
-FROM tr, (SELECT min({x}) AS lo, max({x}) AS hi FROM tr) s WHERE {x} IS NOT NULL""")
+FROM tr, (SELECT min({x}) AS lo, max({x}) AS hi FROM tr) s WHERE {x} IS NOT NULL AND '{c}' IN (SELECT feature FROM ct)""")
     hb = "\nUNION ALL\n".join(parts)
     h = """SELECT feature, bin, lo + bin * ((hi - lo) / 50) AS bin_lo, lo + (bin + 1) * ((hi - lo) / 50) AS bin_hi, count(*) AS n_rows
 FROM hb GROUP BY feature, bin, lo, hi"""
     cols = [("feature", "s"), ("bin", "i"), ("bin_lo", "d"), ("bin_hi", "d"), ("n_rows", "l")]
-    return with_assembled([_train_cte(), ("hb", hb), ("h", h)], _final(cols, "h"))
+    return with_assembled([*_corr_top(), ("hb", hb), ("h", h)], _final(cols, "h"))
 
 
 def q_column_dictionary() -> str:

@@ -8,8 +8,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -44,13 +45,22 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster the operator sets it to a shared file system; we only pick a
-    folder of our own when it is unset (local tests and the bench).
+    folder of our own when it is unset and the master is local (tests and the bench).
     """
     sc = spark.sparkContext
     configured = spark.conf.get(CHECKPOINT_CONF, None) or sc.getConf().get(CHECKPOINT_CONF, None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise ValueError(f"set {CHECKPOINT_CONF} to a folder that all executors share; {sc.master} is not local")
         configured = tempfile.mkdtemp(prefix="riskloom-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set(CHECKPOINT_CONF, configured)
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(configured)
     return configured
+
+
+def scratch_table(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written below the shared checkpoint folder under a name of its own, and read back."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

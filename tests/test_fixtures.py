@@ -41,19 +41,18 @@ def test_installments_fixture(spark):
         [(10, 1, -100, -110, 50.0, 50.0), (10, 1, -70, -60, 50.0, 25.0), (10, 2, -30, None, 0.0, 10.0)],
         "SK_ID_CURR long, SK_ID_PREV long, DAYS_INSTALMENT int, DAYS_ENTRY_PAYMENT int, AMT_INSTALMENT double, AMT_PAYMENT double",
     )
-    loans = {r["SK_ID_PREV"]: r for r in S.installments_loan_level(ip).collect()}
-    l1, l2 = loans[1], loans[2]
-    assert (l1.ip_rows_per_prev, l1.ip_delay_mean_prev, l1.ip_delay_max_prev) == (2, 0.0, 10)
-    assert (l1.ip_on_time_rate_prev, l1.ip_late_rate_prev) == (0.5, 0.5)
-    assert l1.ip_payment_ratio_mean_prev == pytest.approx(0.75) and l1.ip_payment_ratio_vol_prev == pytest.approx(0.25)
-    assert (l1.ip_underpayment_total_prev, l1.ip_recency_days_prev) == (25.0, 100)
-    assert (l2.ip_rows_per_prev, l2.ip_delay_mean_prev, l2.ip_on_time_rate_prev, l2.ip_late_rate_prev) == (1, None, 0.0, 0.0)
-    assert (l2.ip_payment_ratio_mean_prev, l2.ip_payment_ratio_vol_prev, l2.ip_underpayment_total_prev) == (None, None, 0.0)
     c = S.installments_features(ip).first()
     assert (c.ip_prev_credit_count, c.ip_rows_per_prev_mean, c.ip_rows_total) == (2, 1.5, 3)
     assert (c.ip_delay_mean, c.ip_delay_max, c.ip_on_time_rate, c.ip_late_rate) == (0.0, 10, 0.25, 0.25)
     assert (c.ip_payment_ratio_mean, c.ip_payment_ratio_vol_max, c.ip_underpayment_total) == (0.75, 0.25, 25.0)
     assert (c.ip_recency_days_mean, c.ip_recency_days_max) == (65.0, 100)
+    alone = S.installments_features(ip.where("SK_ID_PREV = 2")).first()  # no payment date, nothing due
+    assert (alone.ip_delay_mean, alone.ip_on_time_rate, alone.ip_late_rate, alone.ip_payment_ratio_mean, alone.ip_underpayment_total) == (None, 0.0, 0.0, None, 0.0)
+
+
+def test_every_loan_feature_is_computed_once_per_loan():
+    for features in (S.INSTALMENT_FEATURES, S.POS_CASH_FEATURES, S.CARD_FEATURES):
+        assert len({name for name, *_ in features}) == len(features)
 
 
 def test_scalar_helpers(spark):
@@ -77,7 +76,11 @@ def test_linear_trend(spark):
 
 def test_unique_keys_and_safe_join(spark):
     df = spark.createDataFrame([(1,), (1,), (2,), (None,), (None,)], "k int")
-    assert C.count_duplicates(df, ["k"]) == 2
+    assert C.duplicate_key_groups(df, ["k"]).count() == 2
+    assert C.key_report({"x": df}, ["k"]).first().asDict() == {"side": "x", "n_groups": 3, "duplicate_groups": 2, "surplus_rows": 2, "max_rows": 2}
+    with pytest.raises(ValueError):
+        C.require_unique_keys(df, ["k"], "x", tolerance=0.39)
+    C.require_unique_keys(df, ["k"], "x", tolerance=0.4)
     left = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
     right_dup = spark.createDataFrame([(1, 1.0), (1, 2.0)], "k int, w double")
     with pytest.raises(ValueError):
@@ -87,6 +90,28 @@ def test_unique_keys_and_safe_join(spark):
     right = spark.createDataFrame([(1, 1.0)], "k int, w double")
     joined = {r.k: r.w for r in C.safe_left_join(left, right, ["k"], "right").collect()}
     assert joined == {1: 1.0, 2: None}
+    assert C.safe_left_join(left, right_dup, ["k"], "right", tolerance=0.5, multiplier=2).count() == 3
+
+
+def test_row_count_report_fails_where_a_join_grows(spark):
+    left = spark.createDataFrame([(1, "a"), (2, "a"), (3, "b")], "k int, SPLIT string")
+    twice = spark.createDataFrame([(1, 1.0), (1, 2.0)], "k int, w double")
+    out = {r.table_name: r for r in C.row_count_report(left, left.join(twice, "k", "left"), "SPLIT", "t").collect()}
+    assert not out["t_a"].preserved and out["t_a"].rows_after == 3 and out["t_b"].preserved and out["t_b"].n_columns == 3
+
+
+def test_drift_has_no_column_cap(spark):
+    df = spark.createDataFrame([tuple(float(i + j) for j in range(60)) for i in range(30)], ", ".join(f"AMT_{j} double" for j in range(60)))
+    assert DR.psi_report(df, df).count() == 60
+
+
+def test_encoding_is_judged_by_the_whole_file(spark, tmp_path):
+    from riskloom.sources import files as FS
+
+    (tmp_path / "l.csv").write_bytes("k,v\n1,plain\n2,café\n".encode("latin-1"))
+    (tmp_path / "u.csv").write_bytes("k,v\n1,\ufffd\n2,café\n".encode())
+    assert [r.v for r in FS.read_csv_raw(spark, str(tmp_path / "l.csv")).orderBy("k").collect()] == ["plain", "café"]
+    assert FS.detect_encoding(spark, str(tmp_path / "u.csv")) == "UTF-8"
 
 
 def _psi(spark, ref_vals, tgt_vals):

@@ -71,6 +71,21 @@ def test_ordered_scan_hot_key_matches_window(spark):
     assert j.filter((F.col("row_rank") != F.col("er")) | (F.abs(F.col("v_running") - F.col("es")) > 1e-9)).count() == 0
 
 
+@pytest.mark.parametrize("kind", ["bigint", "double", "string"])
+def test_row_rank_with_null_and_large_keys(spark, kind):
+    from riskloom.operators.ordered import row_rank
+
+    value = {"bigint": "9007199254740993 + id % 3", "double": "if(id % 5 = 1, double('NaN'), -1.0 * (id % 3))", "string": "concat('k', id % 3)"}[kind]
+    df = spark.range(60_000).selectExpr(f"if(id % 7 = 0, null, cast({value} as {kind})) AS k", "id % 11 AS o", "id", "if(id % 4 = 0, null, 9007199254740993 + id) AS payload")
+    want = df.withColumn("want", F.row_number().over(Window.partitionBy("k").orderBy("o", "id")))
+    got = row_rank(df, ["k"], "o", ["id"]).withColumnRenamed("k", "k2").withColumnRenamed("payload", "p2")
+    j = want.join(got.select("id", "k2", "p2", "row_rank"), "id")
+    assert j.count() == 60_000
+    assert j.where("want <> row_rank or not (k <=> k2) or not (payload <=> p2)").count() == 0
+    with pytest.raises(ValueError):
+        row_rank(df, ["k"], "o", [])
+
+
 def test_ordered_scan_hot_key_spans_partitions(spark):
     df = spark.createDataFrame([("hot", i) for i in range(2000)], "k string, o long")
     got = ordered_scan(df, ["k"], ["o"], num_partitions=5)
@@ -91,7 +106,21 @@ def test_rollups_shuffle_only_on_keys(spark, raw):
     assert "Window" not in plan and "SortMergeJoin" not in plan  # last status without a window or self-join
     inst = S.installments_features(raw.installments_payments)
     inst.collect()
-    assert "Exchange" in inst._jdf.queryExecution().executedPlan().toString()
+    final = re.split(r"== Initial Plan ==", inst._jdf.queryExecution().executedPlan().toString())[0]
+    # Each exchange by loan or applicant stands above a partial aggregate, so no raw row is shuffled by its key.
+    assert len(re.findall(r"hashpartitioning\(SK_ID_CURR", final)) == final.count("partial_count(1)") == 2
+
+
+def test_row_counts_scan_every_history(spark, monkeypatch):
+    from riskloom.plans import assemble
+
+    seen = []
+    monkeypatch.setattr(assemble, "scratch_table", lambda df, name: seen.append(df) or df)
+    assemble.cardinality_report(catalog.raw_tables(td.TestTables(spark, SMALL)))
+    scans = seen[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert all(f"{column}#" in scans for column in ("l_shipdate", "o_orderdate", "c_custkey"))
+    report = catalog.QUERIES["row_counts"](spark, SMALL).collect()
+    assert len(report) == 2 and all(r.preserved and r.n_columns > 50 for r in report)
 
 
 def test_column_statistics_are_one_grouped_aggregate_over_a_long_form(spark, raw):
