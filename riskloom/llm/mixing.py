@@ -46,8 +46,8 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epo
     return s.select("source", "source_size", F.least(F.col("cap"), F.coalesce(F.col("level") * F.col("weight"), F.col("cap"))).alias("target"))
 
 
-def mix_sources(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: int = 3, seed: int = 17, bucket_bits: int = 12) -> DataFrame:
-    """``docs`` (doc_id, text, source, ...) plus the struct ``mix``: size, source_size, target, taken."""
+def mixed_rows(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: int = 3, seed: int = 17, bucket_bits: int = 12) -> DataFrame:
+    """(row, mix): input rows (doc_id, text, source, ...) as structs with size, source_size, target, taken."""
     names = [F.col(f"`{c}`") for c in docs.columns]
     key = F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("source"), F.col("text"))
     bucket = F.shiftrightunsigned("key", 64 - bucket_bits).cast("int")  # equal ranges of the key's unsigned order
@@ -61,7 +61,12 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs:
     ahead = F.col("before") + F.coalesce(F.sum("size").over(run), F.lit(0))
     cut = d.where(at_cut).withColumn("extra", F.greatest(F.lit(0), F.least(F.col("size"), F.col("part") - ahead)))
     taken = (F.col("epochs") * F.col("size") + F.col("extra")).cast("long").alias("taken")
-    return whole.unionByName(cut).select("row.*", F.struct("size", "source_size", "target", taken).alias("mix"))
+    return whole.unionByName(cut).select("row", F.struct("size", "source_size", "target", taken).alias("mix"))
+
+
+def mix_sources(docs: DataFrame, into: str = "mix", **options) -> DataFrame:
+    """``docs`` plus the mix as a struct named ``into``, a name that ``docs`` does not have."""
+    return mixed_rows(docs, **options).select("row.*", F.col("mix").alias(into))
 
 
 def _source_key(source: Column) -> list[Column]:
@@ -90,8 +95,7 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     Columns are those of ``docs``; ``n_chars`` follows a shortened text if it is there.
     """
     out = [F.col(f"d.`{c}`") for c in docs.columns]
-    mixed = mix_sources(docs, **options)
-    keep = mixed.where("mix.taken > 0").select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("d"), F.col("mix.size").alias("size"), F.col("mix.taken").alias("taken"))
+    keep = mixed_rows(docs, **options).where("mix.taken > 0").select(F.col("row").alias("d"), F.col("mix.size").alias("size"), F.col("mix.taken").alias("taken"))
     copies = F.explode(F.sequence(F.lit(1), F.ceil(F.col("taken") / F.col("size")).cast("int"))).alias("copy")
     left = F.least(F.col("size"), F.col("taken") - (F.col("copy") - 1) * F.col("size")).alias("words")
     rows = keep.select("d", "size", "taken", copies).select("d", "size", left)

@@ -16,7 +16,7 @@ triples) and its failing lines hold at most ``max_lost`` of its words.
 
 Defined cases: null and empty texts have no words and fail; white space only likewise; repeated rows are
 judged each for themselves; empty input gives no rows; other input columns pass through whatever their
-names, the operator's own columns being in one struct.
+names; the operator's own are in one struct, whose name can be chosen.
 """
 
 from __future__ import annotations
@@ -121,8 +121,8 @@ def judge(text: str | None, min_words: int = 50, max_lost: float = 0.5, short_li
     return n, len(text) - spaces, symbols, duplicates, repeats, lost, base_failed, kept, "\n".join(kept_lines)
 
 
-def clean_lines(docs: DataFrame, text_col: str = "text", with_text: bool = True, **rules) -> DataFrame:
-    """``docs`` plus the struct ``quality`` (see ``VERDICT``); ``clean_text`` is null without ``with_text``."""
+def judged_rows(docs: DataFrame, text_col: str = "text", with_text: bool = True, **rules) -> DataFrame:
+    """(row, quality): input rows as structs with their verdicts (see ``VERDICT``); ``clean_text`` is null without ``with_text``."""
     import pyspark.sql.types as T
 
     verdict = T._parse_datatype_string(VERDICT)
@@ -142,14 +142,19 @@ def clean_lines(docs: DataFrame, text_col: str = "text", with_text: bool = True,
             yield pa.RecordBatch.from_arrays([row, quality], names=["row", "quality"])
 
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    return packed.mapInArrow(run, schema).select("row.*", "quality")
+    return packed.mapInArrow(run, schema)
+
+
+def clean_lines(docs: DataFrame, into: str = "quality", **options) -> DataFrame:
+    """``docs`` plus the verdict as a struct named ``into``, a name that ``docs`` does not have."""
+    return judged_rows(docs, **options).select("row.*", F.col("quality").alias(into))
 
 
 def kept_documents(docs: DataFrame, **rules) -> DataFrame:
     """Documents that pass, with their failing lines removed; columns are those of ``docs``."""
-    judged = clean_lines(docs, **rules).where("quality.kept")
+    judged = judged_rows(docs, **rules).where("quality.kept")
     fixed = {"text": F.col("quality.clean_text").alias("text"), "n_chars": F.char_length("quality.clean_text").cast("long").alias("n_chars")}
-    return judged.select(*[fixed.get(c, F.col(f"`{c}`")) for c in docs.columns])
+    return judged.select(*[fixed.get(c, F.col(f"row.`{c}`")) for c in docs.columns])
 
 
 def op2_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

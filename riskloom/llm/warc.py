@@ -108,7 +108,9 @@ class WarcReader(DataSourceReader):
             room -= x.size
         return [WarcFiles(g) for g in groups]
 
-    def read(self, partition: WarcFiles) -> Iterator[pa.RecordBatch]:
+    def read(self, partition: WarcFiles | None) -> Iterator[pa.RecordBatch]:
+        if partition is None:  # no files, no partitions
+            return
         system = _open(self.path)[0]
         rows: list[dict] = []
         held = 0
