@@ -39,7 +39,7 @@ ENDS = (b".", b"!", b"?")
 class WordEncoder:
     """Token ids of texts by way of their distinct words, at most ``limit`` of which are remembered."""
 
-    def __init__(self, path: str, limit: int = 300_000):
+    def __init__(self, path: str, limit: int = 900_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -53,14 +53,21 @@ class WordEncoder:
     def _add(self, words: list[bytes]) -> None:
         codes = self.codes
         n = len(codes)
-        found = [e.ids for e in self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)]
-        sizes = np.fromiter(map(len, found), np.int64, len(found))
-        total = int(sizes.sum())
+        # Words are encoded some at a time, joined by spaces; offsets tell whose each id is.
+        texts = [w.decode() for w in words]
+        groups = [texts[i : i + 64] for i in range(0, len(texts), 64)]
+        found, sizes = [], np.zeros(len(words), np.int64)
+        for i, (group, e) in enumerate(zip(groups, self.tokenizer.encode_batch([" ".join(g) for g in groups], add_special_tokens=False))):
+            begin = np.cumsum([0] + [len(x) + 1 for x in group])
+            at = np.fromiter((o[0] for o in e.offsets), np.int64, len(e.ids))
+            sizes[64 * i : 64 * i + len(group)] = np.diff(np.searchsorted(at, begin))
+            found += e.ids
+        total = len(found)
         while n + len(words) > len(self.start):
             self.start, self.size, self.ends = (np.concatenate([a, np.zeros_like(a)]) for a in (self.start, self.size, self.ends))
         while self.used + total > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        self.flat[self.used : self.used + total] = np.fromiter((i for ids in found for i in ids), np.uint32, total)
+        self.flat[self.used : self.used + total] = np.array(found, np.uint32)
         self.size[n : n + len(words)] = sizes
         self.start[n : n + len(words)] = self.used + np.cumsum(sizes) - sizes
         self.ends[n : n + len(words)] = [w.endswith(ENDS) for w in words]
@@ -174,7 +181,7 @@ class Packer:
 
 def pack_documents(
     docs: DataFrame, tokenizer_path: str, end_id: int = 2, seq_len: int = 4096, block_tokens: int = 1 << 19,
-    sentence_penalty: float = 4.0, forced_penalty: float = 48.0, max_gap: int = 64, cached_words: int = 300_000,
+    sentence_penalty: float = 4.0, forced_penalty: float = 48.0, max_gap: int = 64, cached_words: int = 900_000,
 ) -> DataFrame:
     """Pieces of documents in sequences: doc_id, start, length, input_ids (unsigned little-endian 32-bit), doc_tokens, sequence_id, offset."""
     import pyspark.sql.types as T
