@@ -150,7 +150,8 @@ def token_blocks(texts: DataFrame, head: Head, buckets: int, flush: int = 1 << 2
                 hot = np.isin(h, head.hot)
                 slot[hot] ^= mix(w[hot].view(np.uint64) + np.uint64(1))
             slot = (slot % np.uint64(buckets)).astype(np.int64)
-            order = np.lexsort((h, slot))
+            # By bucket, then by context (the leading bits of its hash: runs of two contexts that share them are only shorter).
+            order = np.argsort((slot.astype(np.uint64) << np.uint64(40)) | (mix(h.view(np.uint64)) >> np.uint64(24)), kind="stable")
             slot, h, w, doc = slot[order], h[order], w[order], doc[order]
             cuts = np.flatnonzero(np.concatenate([[True], slot[1:] != slot[:-1], [True]]))
             out = []
@@ -291,7 +292,7 @@ def plain_tokens(texts: DataFrame, head: Head, total: int, types: int) -> DataFr
     return texts.select("key", "text").mapInArrow(run, "key long, w long, n long, whole boolean, base double")
 
 
-def katz_scores(docs: DataFrame, held_out, head_words: int = 200_000, bucket_tokens: int = 1 << 21) -> DataFrame:
+def katz_scores(docs: DataFrame, held_out, head_words: int = 200_000, bucket_tokens: int = 1 << 19) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score: log10 probabilities of whole texts."""
     spark = docs.sparkSession
     texts = docs.select("doc_id", "text", held_out.alias("held"), F.monotonically_increasing_id().alias("key"))
