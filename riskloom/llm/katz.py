@@ -144,7 +144,7 @@ def token_blocks(texts: DataFrame, head: Head, buckets: int, flush: int = 1 << 2
             h[1:], h[0] = w[:-1], START
             h[ends[:-1]] = START
             doc = np.repeat(np.arange(len(words)), sizes)
-            key, held = np.concatenate(keys), np.concatenate(flags)
+            key, held = np.diff(np.concatenate(keys), prepend=0), np.packbits(np.concatenate(flags))  # keys mostly rise by one
             slot = mix(h.view(np.uint64))
             if len(head.hot):
                 hot = np.isin(h, head.hot)
@@ -198,7 +198,7 @@ def _bucket_counts(head: Head, p_head: np.ndarray, train_docs: int):
             w[far], w[~far] = tail[(code[far] ^ TAIL).astype(np.int64)], head.words[code[~far].astype(np.int64)]
             ws.append(w)
             docs.append(np.cumsum(step.astype(np.int64)) + base)
-            keys.append(key), flags.append(held.astype(bool))
+            keys.append(np.cumsum(key)), flags.append(np.unpackbits(held, count=len(key)).astype(bool))
             base += len(key)
         h, w, doc, key, held_doc = map(np.concatenate, (hs, ws, docs, keys, flags))
         held = held_doc[doc]
@@ -279,15 +279,21 @@ def plain_tokens(texts: DataFrame, head: Head, total: int, types: int) -> DataFr
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_slices(batches):
-            cols: list[list] = [[], [], [], [], []]
-            for key, words in zip(batch.column(0).to_pylist(), _words(batch, 1)):
-                words = np.append(words, END)
-                at, there = head.find(words)
-                tail, n = np.unique(words[~there], return_counts=True)
-                known = int(there.sum())
-                cols[0].append(np.full(1 + len(tail), key)), cols[1].append(np.append(key ^ 0x5BD1E995, tail)), cols[2].append(np.append(known, n))
-                cols[3].append(np.append(True, np.zeros(len(tail), bool))), cols[4].append(np.append(base_head[at[there]].sum() if known else 0.0, np.zeros(len(tail))))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in cols], names=["key", "w", "n", "whole", "base"])
+            if not batch.num_rows:
+                continue
+            key, own = batch.column(0).to_numpy(), [np.append(w, END) for w in _words(batch, 1)]
+            doc, words = np.repeat(np.arange(len(own)), [len(w) for w in own]), np.concatenate(own)
+            at, there = head.find(words)
+            known = np.bincount(doc[there], minlength=len(own))
+            base = np.bincount(doc[there], weights=base_head[at[there]] if len(base_head) else None, minlength=len(own))
+            d, w = doc[~there], words[~there]
+            order = np.lexsort((w, d))
+            d, w = d[order], w[order]
+            first = np.flatnonzero(np.concatenate([[True], (d[1:] != d[:-1]) | (w[1:] != w[:-1])])) if len(d) else np.zeros(0, np.int64)
+            d, w, n = d[first], w[first], np.diff(np.append(first, len(d)))
+            zero = np.zeros(len(d))
+            columns = [np.append(key, key[d]), np.append(key ^ 0x5BD1E995, w), np.append(known, n), np.append(np.ones(len(key), bool), zero.astype(bool)), np.append(base.astype(float), zero)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["key", "w", "n", "whole", "base"])
 
     return texts.select("key", "text").mapInArrow(run, "key long, w long, n long, whole boolean, base double")
 
