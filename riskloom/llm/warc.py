@@ -34,11 +34,21 @@ SCHEMA = "warc_type string, record_id string, target_uri string, refers_to strin
 HEADERS = {"warc_type": "warc-type", "record_id": "warc-record-id", "target_uri": "warc-target-uri", "refers_to": "warc-refers-to", "payload_digest": "warc-payload-digest"}
 
 
+def _once(value: Column, use) -> Column:
+    """``use`` of a value that is computed once: a lambda's variable, not a copied expression."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def base32_sha1(payload: Column) -> Column:
     """Upper-case base32 SHA-1: 160 bits are 32 characters of five."""
-    hexes = F.sha1(payload)
-    bits = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(7)), lambda i: F.lpad(F.conv(F.substring(hexes, i * 5 + 1, F.lit(5)), 16, 2), 20, "0")), "")
-    return F.array_join(F.transform(F.sequence(F.lit(0), F.lit(31)), lambda i: F.substring(F.lit(BASE32), F.conv(F.substring(bits, i * 5 + 1, F.lit(5)), 2, 10).cast("int") + 1, F.lit(1))), "")
+
+    def bits_of(hexes: Column) -> Column:
+        return F.array_join(F.transform(F.sequence(F.lit(0), F.lit(7)), lambda i: F.lpad(F.conv(F.substring(hexes, i * 5 + 1, F.lit(5)), 16, 2), 20, "0")), "")
+
+    def letters(bits: Column) -> Column:
+        return F.array_join(F.transform(F.sequence(F.lit(0), F.lit(31)), lambda i: F.substring(F.lit(BASE32), F.conv(F.substring(bits, i * 5 + 1, F.lit(5)), 2, 10).cast("int") + 1, F.lit(1))), "")
+
+    return _once(_once(F.sha1(payload), bits_of), letters)
 
 
 def page_records(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
