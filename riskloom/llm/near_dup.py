@@ -9,14 +9,15 @@ the first half-key is shared by two documents or more, so documents without near
 
 1. Equal sets form classes (grouping by a 128-bit fingerprint); only the smallest doc_id of a class, its
    representative, goes on.
-2. Of table keys with the same members one stays.  In each, all members are compared with the key's *leader*,
-   its smallest member: linear in the members.  Pairs whose sizes or 64-byte sketches cannot reach the
-   threshold are dropped (a sketch only prunes: pairs at the threshold fail it with probability under
-   1e-6), the others are compared on full sets.
-3. The leader, compared with everybody, leaves its key.  Keys whose members are in one component by the links so
-   far are done; the others choose a leader from another component, which meets all members outside its own.
-   Keys with few members compare all pairs in one round; so do, at the last, keys that ``max_rounds`` did not
-   settle, so that no link is lost.
+2. The 16 tables on the diagonal (i-th half-key of either collection) come first: all members of a key are
+   compared with its *leader*, the smallest: linear in the members.  Pairs whose sizes or 64-byte sketches
+   cannot reach the threshold are dropped (a sketch only prunes: pairs at the threshold fail it with
+   probability under 1e-6), the others are compared on full sets made from their texts.
+3. All other tables: a half-key or table key whose members are in one component by then can add nothing and is left
+   out, so only what is still open is crossed.  Keys of few members compare those of different components; members
+   of larger keys meet by the prefix filter: with shingles in one order, rarest first, two sets at the threshold
+   share one of the first ``n - least + 1`` of either, and not too late in them.  No link is lost, and members
+   just below the threshold of a large group are not compared with all of it.
 4. Components of the links, by label propagation with joins.
 
 Defined cases: null and empty texts and those without words have an empty set, are linked with nothing and
@@ -116,25 +117,28 @@ def _slots(ids: DataFrame, bits: int) -> bytes:
     return bytes(out)
 
 
-def shingle_sets(docs: DataFrame, wanted: bytes, bits: int) -> DataFrame:
-    """(id, set) of the documents whose slot is set in ``wanted``; a few others may be among them."""
+def wanted_texts(docs: DataFrame, wanted: bytes, bits: int) -> DataFrame:
+    """(id, text) of the documents whose slot is set in ``wanted``; a few others may be among them."""
     import pyspark.sql.types as T
 
-    schema = T.StructType([T.StructField("id", docs.schema["doc_id"].dataType), T.StructField("set", T.ArrayType(T.LongType()))])
+    schema = T.StructType([T.StructField("id", docs.schema["doc_id"].dataType), T.StructField("text", T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, mask = _word_hashes(), np.frombuffer(wanted, np.uint8)
-        for batch in in_slices(batches):
+        mask = np.frombuffer(wanted, np.uint8)
+        for batch in batches:
             slot = batch.column(2).to_numpy()
             batch = batch.filter(pa.array((mask[slot >> 3] >> (slot & 7).astype(np.uint8) & 1).astype(bool)))
             if batch.num_rows:
-                sets = [shingles((t or b"").lower().split(), hashes).view(np.int64) for t in byte_texts(batch.column(1))]
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], names=schema.names)
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=schema.names)
 
     slot = F.pmod(F.xxhash64("doc_id"), F.lit(1 << bits))
     return docs.where("doc_id is not null").select("doc_id", "text", slot.alias("slot")).mapInArrow(run, schema)
 
 
+def _set_of(text: bytes | None) -> np.ndarray:
+    return shingles((text or b"").lower().split(), _word_hashes())
+
+
 def _same_bytes():
     """Equal bytes of the sketches sa and sb, as a count."""
     return F.expr(f"aggregate(sequence(1, {SKETCH}), 0, (s, i) -> s + if(substring(sa, i, 1) = substring(sb, i, 1), 1, 0))")
@@ -148,60 +152,106 @@ def verify(pairs: DataFrame, docs: DataFrame, sig: DataFrame, percent: int, bits
     # A pair at the threshold has SKETCH * least equal bytes on average; five standard deviations below are kept.
     near = materialise(near.where(_same_bytes() >= SKETCH * least - 5 * (SKETCH * least * (1 - least)) ** 0.5).select("a", "b").distinct(), "near-pairs")
     wanted = _slots(near.select(F.col("a").alias("id")).union(near.select(F.col("b").alias("id"))), bits)
-    sets = shingle_sets(docs, wanted, bits)
-    met = near.join(sets.select(F.col("id").alias("a"), F.col("set").alias("xa")), "a").join(sets.select(F.col("id").alias("b"), F.col("set").alias("xb")), "b")
-    inter = F.size(F.array_intersect("xa", "xb"))
-    linked = met.where(100 * inter >= percent * (F.size("xa") + F.size("xb") - inter)).select("a", "b")
-    return materialise(linked, "links")
+    # Texts are moved, not sets: shuffles compress words, but not hashes.
+    texts = wanted_texts(docs, wanted, bits)
+    met = near.join(texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a").join(texts.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in in_slices(batches):
+            linked = []
+            for ta, tb in zip(byte_texts(batch.column(2)), byte_texts(batch.column(3))):
+                x, y = _set_of(ta), _set_of(tb)
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                linked.append(both > 0 and 100 * both >= percent * (len(x) + len(y) - both))
+            yield batch.select([0, 1]).filter(pa.array(linked, pa.bool_()))
+
+    return materialise(met.select("a", "b", "ta", "tb").mapInArrow(run, near.schema), "links")
 
 
-def table_keys(reps: DataFrame) -> DataFrame:
-    """(key, id): a row for each hash table in which a representative may meet another."""
-    u = reps.select(F.col("doc_id").alias("id"), F.explode("u").alias("ukey"))
-    shared = materialise(u.groupBy("ukey").count().where("count > 1").select("ukey"), "half-keys")
-    met = u.join(shared, "ukey").join(reps.select(F.col("doc_id").alias("id"), "v"), "id")
-    return materialise(met.select("id", F.explode(F.transform("v", lambda x: F.xxhash64("ukey", x))).alias("key")), "table-keys")
+def diagonal_pairs(reps: DataFrame) -> DataFrame:
+    """(a, b): the members of each key of the diagonal tables with its leader."""
+    at = F.explode(F.zip_with("u", "v", lambda x, y: F.xxhash64(x, y)))
+    keyed = reps.select(F.col("doc_id").alias("id"), at.alias("key"))
+    leaders = keyed.groupBy("key").agg(F.min("id").alias("a"), F.count("*").alias("members")).where("members > 1").select("key", "a")
+    return keyed.join(leaders, "key").where("id <> a").select("a", F.col("id").alias("b")).distinct()
 
 
-def _groups(keyed: DataFrame) -> DataFrame:
-    """(key, id, members) of keys with two members or more; of keys with the same members one stays."""
-    stats = keyed.groupBy("key").agg(F.min("id").alias("first"), F.count("*").alias("members"), F.bit_xor(F.xxhash64("id")).alias("print")).where("members > 1")
-    one = materialise(stats.groupBy("first", "members", "print").agg(F.min("key").alias("key")).select("key", "members"), "groups")
-    return materialise(keyed.join(one, "key"), "members")
+def _open_halves(labelled: DataFrame, name: str) -> DataFrame:
+    """(id, component, halves): of each representative the half-keys that are shared by several components."""
+    rows = labelled.select("id", "component", F.explode(name).alias("half"))
+    open_ = rows.groupBy("half").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("half")
+    return rows.join(open_, "half").groupBy("id").agg(F.first("component").alias("component"), F.collect_list("half").alias(name))
 
 
-def links(reps: DataFrame, docs: DataFrame, percent: int = 75, small: int = 5, max_rounds: int = 3) -> DataFrame:
+def open_members(labelled: DataFrame) -> DataFrame:
+    """(key, id, component, members) of the table keys with several components; of keys with the same members one stays."""
+    crossed = _open_halves(labelled, "u").join(_open_halves(labelled, "v").drop("component"), "id").select("id", "component", F.explode("u").alias("half"), "v")
+    keyed = materialise(crossed.select("id", "component", F.explode(F.transform("v", lambda x: F.xxhash64("half", x))).alias("key")), "table-keys")
+    stats = keyed.groupBy("key").agg(
+        F.min("component").alias("lo"), F.max("component").alias("hi"), F.min("id").alias("first"), F.count("*").alias("members"), F.bit_xor(F.xxhash64("id")).alias("print")
+    )
+    one = stats.where("lo <> hi").groupBy("first", "members", "print").agg(F.min("key").alias("key")).select("key", "members")
+    return materialise(keyed.join(one, "key"), "open-members")
+
+
+def prefix_pairs(members: DataFrame, docs: DataFrame, percent: int, bits: int = 24, slots: int = 1 << 20) -> DataFrame:
+    """(a, b) of different components: all pairs of ``members`` (id, component) that may reach ``percent``."""
+    import pyspark.sql.types as T
+
+    id_type = docs.schema["doc_id"].dataType
+    schema = T.StructType([T.StructField("id", id_type), T.StructField("set", T.ArrayType(T.LongType()))])
+
+    def to_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in in_slices(batches):
+            sets = [_set_of(t).view(np.int64) for t in byte_texts(batch.column(1))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], names=schema.names)
+
+    members = materialise(members.distinct(), "large-keys")
+    found = wanted_texts(docs, _slots(members, bits), bits)
+    sets = materialise(found.join(members.select("id"), "id", "left_semi").select("id", "text").mapInArrow(to_sets, schema), "large-sets")
+    # How often a shingle occurs is counted in a table of fixed size; any one order is right, rarest first is fast.
+    counts = sets.select(F.explode("set").alias("x")).select(F.pmod("x", F.lit(slots)).alias("slot"))
+    often = counts.groupBy("slot").count().where("count > 1").toPandas()
+    level = np.zeros(slots, np.uint8)
+    level[often["slot"].to_numpy(np.int64)] = np.log2(often["count"].to_numpy(np.float64)).astype(np.uint8)
+    shapes = T.StructType([T.StructField("id", id_type)] + T._parse_datatype_string("token long, at long, n long").fields)
+
+    def to_prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in in_slices(batches, 128):
+            row, token, at, n = [], [], [], []
+            for i, s in enumerate(batch.column(1)):
+                s = s.values.to_numpy()
+                first = len(s) - -(-percent * len(s) // 100) + 1
+                s = s[np.lexsort((s, level[s % slots]))][:first]
+                row.append(np.full(len(s), i))
+                token.append(s)
+                at.append(np.arange(len(s)))
+                n.append(np.full(len(s), len(batch.column(1)[i])))
+            columns = [batch.column(0).take(pa.array(np.concatenate(row))), *(pa.array(np.concatenate(c), pa.int64()) for c in (token, at, n))]
+            yield pa.RecordBatch.from_arrays(columns, names=shapes.names)
+
+    rows = materialise(sets.mapInArrow(to_prefixes, shapes).join(members, "id"), "prefixes")
+    met = rows.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("token")
+    rows = materialise(rows.join(met, "token"), "met-prefixes")
+    x, y = (rows.select("token", *(F.col(c).alias(c + i) for c in ("id", "component", "at", "n"))) for i in "ab")
+    size = f"100 * least(na, nb) >= {percent} * greatest(na, nb) and {100 + percent} * least(na - ata, nb - atb) >= {percent} * (na + nb)"
+    pairs = x.join(y, "token").where(f"ida < idb and componenta <> componentb and {size}")
+    return pairs.select(F.col("ida").alias("a"), F.col("idb").alias("b")).distinct()
+
+
+def links(reps: DataFrame, docs: DataFrame, percent: int = 75, small: int = 8) -> DataFrame:
     """Links (a, b) that join all representatives of similarity ``percent`` or more into the right components."""
-    sig = materialise(reps.select("doc_id", "n", "sketch"), "sketches")
-    members = _groups(table_keys(reps)).select("key", "id", F.col("id").alias("component"), "members", F.lit(0).alias("rank"))
-    found = None
-    for round_ in range(max_rounds + 1):
-        # Every key compares one leader with its members in other components; keys of few components all of theirs.
-        leaders = members.groupBy("key").agg(F.min(F.struct("rank", "id")).alias("l"))
-        leaders = materialise(leaders.select("key", F.col("l.id").alias("leader")), "leaders")
-        led = members.join(leaders, "key")
-        own = led.where("id = leader").select("key", F.col("component").alias("own"))
-        led = materialise(led.join(own, "key"), "led")
-        few = F.lit(round_ == max_rounds) | (F.col("members") <= small)
-        pairs = led.where(~few & (F.col("component") != F.col("own"))).select(F.least("leader", "id").alias("a"), F.greatest("leader", "id").alias("b"))
-        x, y = (led.where(few).select("key", F.col("id").alias(i), F.col("component").alias(f"c{i}")) for i in "ab")
-        pairs = pairs.union(x.join(y, "key").where("a < b and ca <> cb").select("a", "b"))
-        linked = verify(pairs.distinct(), docs, sig, percent)
-        found = linked if found is None else materialise(found.union(linked), "links")
-        rest = led.where(~few & (F.col("id") != F.col("leader"))).select("key", "id", "members")
-        if rest.isEmpty():
-            return found
-        label = components(found).select(F.col("node").alias("id"), "component")
-        # The leader is done with its key.  Keys left in one component are done.
-        named = materialise(rest.join(label, "id", "left").withColumn("component", F.coalesce("component", "id")), "named")
-        open_ = named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("left")).where("lo <> hi")
-        open_ = materialise(open_.select("key", "lo", "left"), "open-keys")
-        if open_.isEmpty():
-            return found
-        # The next leader comes from another component than the first.
-        members = named.drop("members").join(open_, "key").select("key", "id", "component", F.col("left").alias("members"), (F.col("component") == F.col("lo")).cast("int").alias("rank"))
-        members = materialise(members, "members")
-    return found
+    sig = reps.select("doc_id", "n", "sketch")
+    found = verify(diagonal_pairs(reps), docs, sig, percent)
+    label = components(found).select(F.col("node").alias("id"), "component")
+    labelled = reps.select(F.col("doc_id").alias("id"), "u", "v").join(label, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    members = open_members(materialise(labelled, "labelled"))
+    x, y = (members.where(F.col("members") <= small).select("key", F.col("id").alias(i), F.col("component").alias(f"c{i}")) for i in "ab")
+    pairs = x.join(y, "key").where("a < b and ca <> cb").select("a", "b").distinct()
+    large = members.where(F.col("members") > small).select("id", "component")
+    if not large.isEmpty():
+        pairs = pairs.union(prefix_pairs(large, docs, percent)).distinct()
+    return materialise(found.union(verify(pairs, docs, sig, percent)), "links")
 
 
 def near_duplicates(docs: DataFrame, percent: int = 75, tables: int = 16, rows: int = 2) -> DataFrame:
