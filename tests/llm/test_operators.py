@@ -281,6 +281,22 @@ def test_pii_model_adds_credentials_and_leaves_prose(spark):
         assert [s.kind for s in r.pii.added] == (["secret"] if r.doc_id % 2 else [])
 
 
+@pytest.mark.parametrize("size", ["sf0.01", "sf0.1"])
+def test_pii_adds_every_credential(spark, size):
+    df = spark.read.parquet(f"/root/testdata/{size}/documents.parquet").select("doc_id", "text")
+    token = re.compile(r"(?i)token = \"([0-9a-f]{40})\"")
+    want = {(r.doc_id, m.start(1), m.end(1)) for r in df.collect() for m in token.finditer(r.text or "")}
+    got = {(r.doc_id, s.start, s.end) for r in pii.find_spans(df, pii.fit_spans(df)).collect() for s in r.pii.added or [] if s.kind == "secret"}
+    assert want and want <= got
+
+
+def test_pii_credentials_beside_equal_hashes(spark):
+    hashes = [hashlib.sha1(str(i).encode()).hexdigest() for i in range(300)]
+    df = spark.createDataFrame([(i, f'token = "{h}" end' if i % 3 == 0 else f"commit {h} end") for i, h in enumerate(hashes)], "doc_id long, text string")
+    for r in pii.find_spans(df, pii.fit_spans(df)).collect():
+        assert [s.kind for s in r.pii.added] == (["secret"] if r.doc_id % 3 == 0 else [])
+
+
 def test_chat_turns_are_recovered_and_rendered(spark, none):
     turns = spark.read.parquet(f"{SMALL}/conversations.parquet")
     more = spark.read.parquet("/root/testdata/sf0.01/conversations.parquet")
