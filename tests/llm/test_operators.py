@@ -297,6 +297,30 @@ def test_pii_credentials_beside_equal_hashes(spark):
         assert [s.kind for s in r.pii.added] == (["secret"] if r.doc_id % 3 == 0 else [])
 
 
+def test_pii_adds_phone_numbers_without_plus(spark):
+    rng = np.random.default_rng(3)
+    rows = []
+    for i in range(600):
+        a, b, c = rng.integers(200, 999), rng.integers(200, 999), rng.integers(1000, 9999)
+        # A phone number, one that only its word and its format tell, a card number with a wrong check digit, a date, a base phone number.
+        card = next(x for x in (f"4{a}{b}{c}{c}{d}" for d in range(10)) if not passes("card", x))
+        rows.append((i, (f"ring ({a}) {b}-{c} soon", f"phone: {b}/{a}.{b}.{c}, now", f"order {card} came", f"on 2024-0{i % 9 + 1}-1{i % 10} it", f"ring +1 ({a}) {b}-{c} soon")[i % 5]))
+    rows += [(600, "ring (555) 123-4567 soon"), (601, "write to ada@m\u00fcnchen.de, please"), (602, "phone: 1 555 0123 4567")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    model = pii.fit_spans(df)
+    assert "number" in model.thresholds
+    for r in pii.find_spans(df, model).collect():
+        found = [(s.kind, r.text[s.start : s.end]) for s in r.pii.added]
+        if r.doc_id == 601:
+            assert found == [("contact", "ada@m\u00fcnchen.de,")]
+        elif r.doc_id in (600, 602):
+            assert [k for k, _ in found] == ["account"]
+        elif r.doc_id % 5 == 0:
+            assert found == [("account", r.text[5:-5])]
+        elif r.doc_id % 5 > 1:
+            assert not found, r.text
+
+
 def test_chat_turns_are_recovered_and_rendered(spark, none):
     turns = spark.read.parquet(f"{SMALL}/conversations.parquet")
     more = spark.read.parquet("/root/testdata/sf0.01/conversations.parquet")
