@@ -2,8 +2,8 @@
 
 *Graph.*  Equal vectors form one node (its smallest vec_id).  Nodes are dealt at random to blocks, ``deals`` times,
 and the nearest ``degree`` of a node's blocks are its first neighbours.  In each round every node introduces its
-neighbours, forward and backward, to each other: a join puts their coded vectors (one byte a component)
-beside each other, and pairs nearer than the farthest neighbour of either are proposed.  The best
+neighbours, forward and backward, to each other: a join puts their coded vectors (one byte a component, in parts
+of the vector's own largest component, so that one long vector does not blur the others) beside each other, and pairs nearer than the farthest neighbour of either are proposed.  The best
 ``degree`` stay.  Rounds end when few neighbours change.  A round looks at ``degree`` forward and at most
 ``degree`` backward neighbours of a node (the sampling that belongs to NN-descent), so its work is linear in the
 nodes, and popular nodes are cut to that number in two steps, never in one task.
@@ -57,6 +57,18 @@ def _distances(x: np.ndarray) -> np.ndarray:
     return np.maximum(s[:, None] + s[None, :] - 2 * (x @ x.T), 0)
 
 
+def _code(vec: list) -> bytes:
+    """A vector as its scale (8 bytes) and one byte a component."""
+    v = np.asarray(vec, np.float64)
+    peak = np.abs(v).max()
+    return (peak / 127).tobytes() + np.rint(v / peak * 127).astype(np.int8).tobytes()
+
+
+def _decoded(codes: list[bytes]) -> np.ndarray:
+    raw = np.frombuffer(b"".join(codes), np.int8).reshape(len(codes), -1)
+    return raw[:, 8:] * np.ascontiguousarray(raw[:, :8]).view(np.float64)
+
+
 def _blocks(nodes: DataFrame, degree: int, block: int, count: int, deals: int) -> DataFrame:
     """First neighbours: the nearest within random blocks of about ``block`` nodes, dealt anew ``deals`` times."""
     blocks = max(1, round(count / block))
@@ -65,7 +77,7 @@ def _blocks(nodes: DataFrame, degree: int, block: int, count: int, deals: int) -
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for ids, codes in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                x = np.frombuffer(b"".join(codes), np.int8).reshape(len(ids), -1).astype(np.float32)
+                x = _decoded(codes)
                 d = _distances(x)
                 np.fill_diagonal(d, np.inf)
                 k = min(degree, len(ids) - 1)
@@ -87,8 +99,8 @@ def _introduce(met: DataFrame) -> DataFrame:
         for batch in batches:
             out: list[list[np.ndarray]] = [[], [], []]
             for ids, codes, radii, fresh in zip(*(batch.column(i).to_pylist() for i in range(4))):
-                x = np.frombuffer(b"".join(codes), np.int8).reshape(len(ids), -1).astype(np.float32)
-                d, r, new, own = _distances(x), np.asarray(radii, np.float32), np.asarray(fresh, bool), np.asarray(ids, np.int64)
+                x = _decoded(codes)
+                d, r, new, own = _distances(x), np.asarray(radii), np.asarray(fresh, bool), np.asarray(ids, np.int64)
                 np.fill_diagonal(d, np.inf)
                 a, b = np.nonzero((d < r[:, None]) & (new[:, None] | new[None, :]))
                 out[0].append(own[a]), out[1].append(own[b]), out[2].append(d[a, b].astype(np.float64))
@@ -106,19 +118,18 @@ def _best(edges: DataFrame, degree: int) -> DataFrame:
 
 def build_graph(nodes: DataFrame, degree: int = 32, block: int = 512, deals: int = 4, max_rounds: int = 10, settle: float = 0.01) -> DataFrame:
     """nodes (node, vec) -> edges (node, nbr, d): each node's near neighbours by coded vectors."""
-    top = nodes.agg(F.max(F.array_max(F.transform("vec", F.abs))), F.count("*")).first()
-    peak, count = top[0] or 1.0, top[1]
+    count = nodes.count()
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            codes = [np.rint(np.asarray(v) * (127 / peak)).astype(np.int8).tobytes() for v in batch.column(1).to_pylist()]
+            codes = [_code(v) for v in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(codes, pa.binary())], names=["node", "code"])
 
     coded = materialise(nodes.select("node", "vec").mapInArrow(code, "node long, code binary"), "codes")
     graph = materialise(_best(_blocks(coded, degree, block, count, deals).withColumn("fresh", F.lit(True)), degree), "graph")
     for _ in range(max_rounds):
-        radius = graph.groupBy("node").agg(F.when(F.count("*") >= degree, F.max("d")).otherwise(F.lit(1e30)).alias("radius"))
-        described = materialise(coded.join(radius, "node", "left").select(F.col("node").alias("nbr"), "code", F.coalesce("radius", F.lit(1e30)).alias("radius")), "described")
+        radius = graph.groupBy("node").agg(F.when(F.count("*") >= degree, F.max("d")).otherwise(F.lit(float("inf"))).alias("radius"))
+        described = materialise(coded.join(radius, "node", "left").select(F.col("node").alias("nbr"), "code", F.coalesce("radius", F.lit(float("inf"))).alias("radius")), "described")
         back = _first(graph.select(F.col("nbr").alias("node"), F.col("node").alias("nbr"), "d", "fresh"), "node", "nbr", [F.desc("fresh"), F.col("d"), F.col("nbr")], degree)
         near = graph.unionByName(back).groupBy("node", "nbr").agg(F.max("fresh").alias("fresh"))
         met = near.join(described, "nbr").groupBy("node").agg(F.collect_list(F.struct("nbr", "code", "radius", "fresh")).alias("m"), F.max("fresh").alias("any"))

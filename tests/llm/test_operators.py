@@ -373,6 +373,16 @@ def test_nearest_neighbours_recall_and_odd_vectors(spark):
     assert ann.nearest(two.where("vec_id = 0"), F.lit(True)).count() == 0 and ann.nearest(two.where("vec_id = 9"), F.lit(True)).count() == 0
 
 
+def test_neighbour_graph_beside_one_long_vector(spark):
+    x = np.random.default_rng(9).normal(size=(1200, 12))
+    x[17] *= 1e6
+    graph = collections.defaultdict(set)
+    for r in ann.build_graph(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "node long, vec array<double>"), block=128).collect():
+        graph[r.node].add(r.nbr)
+    hits = [len(graph[i] & set(np.argsort(((x - x[i]) ** 2).sum(1))[1:11].tolist())) for i in range(len(x))]
+    assert np.mean(hits) > 9 and hits[17] >= 8
+
+
 def water_fill(sizes, weights=(5, 2, 1)):
     names = sorted((s for s in sizes if s is not None), key=lambda s: [ord(c) for c in s]) + [None] * (None in sizes)
     w = {s: weights[i % 3] for i, s in enumerate(names)}
