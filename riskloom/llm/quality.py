@@ -74,9 +74,10 @@ def line_fails(line: str, n_words: int, words: list[bytes], short_line: int) ->
                 return True
         if line.upper() == line and line.lower() != line:
             return True
-        if sum(map(str.isupper, line[:4000])) > 0.5 * len(line[:4000]):  # worth a look at each word
-            cased = [w for w in line.split() if w.lower() != w.upper()]
-            if sum(w == w.upper() and len(w) > 1 for w in cased) > 0.7 * len(cased):
+        if line.lower() != line:  # without a capital no word shouts
+            words_here = line.split()
+            loud = sum(w == w.upper() and len(w) > 1 and w.lower() != w for w in words_here)
+            if loud and loud > 0.7 * sum(w.lower() != w.upper() for w in words_here):
                 return True
     closed = CLOSING.search(line[-8:].rstrip())
     if n_words <= short_line and not closed:

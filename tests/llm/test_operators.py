@@ -101,6 +101,14 @@ def test_quality_counts_and_verdicts(spark, odd, none, docs):
     assert "Home" not in kept and "rights" not in kept and kept == "\n".join(prose)
 
 
+def test_quality_sees_shouting_anywhere_in_a_line():
+    numbers = " ".join(f"{i:08d}" for i in range(600))
+    loud, soft = [" ".join(w + chr(65 + i) for i in range(20)) for w in ("LOUD", "soft")]
+    for line, fails in ((f"{numbers} {loud} quiet.", True), (f"1999 2024 31337 AB CD EF GH ij {numbers[:80]}.", True), (f"{numbers} {loud} {soft} quiet.", False)):
+        own = line.encode().split()
+        assert quality.line_fails(line, len(own), own, 3) == fails
+
+
 @pytest.mark.parametrize("head,bucket", [(200_000, 1 << 21), (30, 500)])
 def test_katz_matches_brute_force(spark, odd, none, docs, head, bucket):
     held = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 10 == 0
