@@ -53,13 +53,15 @@ def terms_of(text: bytes) -> list[bytes]:
 
 def encode_varints(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of the values, seven bits each with the high bit set but in a value's last; and where each ends."""
-    size = 1 + sum((values >= 1 << 7 * k).astype(np.int64) for k in range(1, 5))
-    ends = np.cumsum(size)
+    size = np.ones(len(values), np.int8)
+    for k in range(1, 5):
+        size += values >= 1 << 7 * k
+    ends = np.cumsum(size, dtype=np.int64)
     out = np.zeros(int(ends[-1]) if len(ends) else 0, np.uint8)
     for k in range(int(size.max()) if len(size) else 0):
-        at = size > k
-        more = size[at] > k + 1
-        out[(ends - size)[at] + k] = ((values[at] >> 7 * k) & 127) | (more.astype(np.int64) << 7)
+        at = np.flatnonzero(size > k)
+        own = size[at]
+        out[ends[at] - own + k] = ((values[at] >> 7 * k) & 127) | np.where(own > k + 1, 128, 0)
     return out, ends
 
 
@@ -114,17 +116,25 @@ class _Segment:
         local[order] = np.arange(n)
         length = np.fromiter(map(len, self.terms), np.int64, n)
         key = np.concatenate(self.terms).astype(np.int64) * n + np.repeat(local, length)
-        key, tf = np.unique(key, return_counts=True)
-        term, doc = np.divmod(key, n)
-        impact = impacts(tf.astype(np.int64), length[order][doc], documents, total)
+        self.terms = []
+        key.sort()
+        begin = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+        tf = np.diff(np.r_[begin, len(key)])
+        term, doc = (x.astype(np.int32) for x in np.divmod(key[begin], n))
+        del key, begin
+        impact = impacts(tf, length[order][doc], documents, total).astype(np.int32)
+        del tf
         first = np.flatnonzero(np.r_[True, term[1:] != term[:-1]])
-        df = np.diff(np.r_[first, len(key)])
-        inside = np.arange(len(key)) - np.repeat(first, df)
-        begins = inside % BLOCK == 0
+        df = np.diff(np.r_[first, len(doc)])
+        begins = (np.arange(len(doc), dtype=np.int32) - np.repeat(first.astype(np.int32), df)) % BLOCK == 0
         blocks = np.flatnonzero(begins)
-        gap = doc - np.where(begins, 0, np.r_[0, doc[:-1]])
-        data, ends = encode_varints(np.column_stack([gap, impact]).ravel())
-        stop = np.r_[blocks[1:], len(key)] - 1  # the last posting of each block
+        pairs = np.empty(2 * len(doc), np.int32)
+        pairs[0] = doc[0]
+        pairs[2::2] = np.where(begins[1:], doc[1:], doc[1:] - doc[:-1])
+        pairs[1::2] = impact
+        data, ends = encode_varints(pairs)
+        del pairs, begins
+        stop = np.r_[blocks[1:], len(doc)] - 1  # the last posting of each block
         block_end = ends[2 * stop + 1]
         term_end = ends[2 * (first + df - 1) + 1]
         term_begin = np.r_[0, term_end[:-1]]
@@ -146,12 +156,21 @@ class _Segment:
 
 def corpus_totals(docs: DataFrame) -> tuple[int, int]:
     """Documents with a term, and terms in all."""
-    n = F.regexp_count("text", F.lit(TERM + "+"))
-    row = docs.select(n.alias("n")).agg(F.count(F.when(F.col("n") > 0, 1)).alias("documents"), F.coalesce(F.sum(F.col("n").cast("long")), F.lit(0)).alias("total")).first()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        documents = total = 0
+        for batch in in_slices(batches, 256):
+            for text in batch.column(0).cast(pa.binary()):
+                n = len(terms_of(text.as_py() or b""))
+                documents, total = documents + (n > 0), total + n
+        yield pa.RecordBatch.from_arrays([pa.array([documents]), pa.array([total])], names=["documents", "total"])
+
+    sums = [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("documents", "total")]
+    row = docs.select("text").mapInArrow(run, "documents long, total long").agg(*sums).first()
     return row["documents"], row["total"]
 
 
-def build_index(docs: DataFrame, segment_docs: int = 16384, segment_bytes: int = 32 << 20) -> tuple[DataFrame, int]:
+def build_index(docs: DataFrame, segment_docs: int = 16384, segment_bytes: int = 16 << 20) -> tuple[DataFrame, int]:
     """The index of ``docs`` (doc_id, text) as a written table (segment, term, df, top, heads, postings, doc_ids), and the number of documents in it."""
     documents, total = corpus_totals(docs)
     id_field = docs.schema["doc_id"].dataType
