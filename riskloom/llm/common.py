@@ -69,10 +69,25 @@ def byte_texts(column: pa.Array | pa.ChunkedArray) -> list[bytes | None]:
 
 
 def in_slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
-    """Small slices of Arrow batches, so that a worker holds few long texts as Python objects at once."""
+    """Small slices of Arrow batches, so that a worker holds few long texts as Python objects at once.
+
+    What is free after a batch goes back to the system: workers outlive their tasks, and several share an executor.
+    """
     for batch in batches:
         for start in range(0, batch.num_rows, rows):
             yield batch.slice(start, rows)
+        del batch
+        give_back_memory()
+
+
+def give_back_memory() -> None:
+    """Return the free memory of Arrow's pool and of the C library, where it can."""
+    import ctypes
+
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
 
 
 def word_hash(word: bytes) -> int:

@@ -56,7 +56,8 @@ def shingles(words: list[bytes], hashes: WordHashes) -> np.ndarray:
 
 
 def _word_hashes() -> WordHashes:
-    return process_cache("word hashes", WordHashes)
+    # Workers outlive their stage, so what they remember is kept small.
+    return process_cache("word hashes", lambda: WordHashes(100_000))
 
 
 def _minhashes(sets: list[np.ndarray], count: int) -> np.ndarray:
@@ -125,7 +126,7 @@ def wanted_texts(docs: DataFrame, wanted: bytes, bits: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mask = np.frombuffer(wanted, np.uint8)
-        for batch in batches:
+        for batch in in_slices(batches, 2048):
             slot = batch.column(2).to_numpy()
             batch = batch.filter(pa.array((mask[slot >> 3] >> (slot & 7).astype(np.uint8) & 1).astype(bool)))
             if batch.num_rows:

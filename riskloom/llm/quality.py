@@ -122,8 +122,11 @@ def judge(text: str | None, min_words: int = 50, max_lost: float = 0.5, short_li
     return n, len(text) - spaces, symbols, duplicates, repeats, lost, base_failed, kept, "\n".join(kept_lines)
 
 
-def judged_rows(docs: DataFrame, text_col: str = "text", with_text: bool = True, **rules) -> DataFrame:
-    """(row, quality): input rows as structs with their verdicts (see ``VERDICT``); ``clean_text`` is null without ``with_text``."""
+def judged_rows(docs: DataFrame, text_col: str = "text", with_text: bool = True, only_kept: bool = False, **rules) -> DataFrame:
+    """(row, quality): input rows as structs with their verdicts (see ``VERDICT``); ``clean_text`` is null without ``with_text``.
+
+    With ``only_kept``, rejected rows stay out, and ``clean_text`` is null where the text stays as it is.
+    """
     import pyspark.sql.types as T
 
     verdict = T._parse_datatype_string(VERDICT)
@@ -136,9 +139,13 @@ def judged_rows(docs: DataFrame, text_col: str = "text", with_text: bool = True,
         for batch in in_slices(batches):
             row = batch.column(0)
             texts = row.flatten()[text_at].to_pylist()
-            columns = list(zip(*(judge(t, **rules) for t in texts))) or [[]] * len(names)
+            verdicts = [judge(t, **rules) for t in texts]
+            if only_kept:
+                row = row.filter(pa.array([v[-2] for v in verdicts], pa.bool_()))
+                verdicts = [(*v[:-1], None if v[-1] == t else v[-1]) for v, t in zip(verdicts, texts) if v[-2]]
+            columns = list(zip(*verdicts)) or [[]] * len(names)
             if not with_text:
-                columns[-1] = [None] * len(texts)
+                columns[-1] = [None] * len(verdicts)
             quality = pa.StructArray.from_arrays([pa.array(c, type=t) for c, t in zip(columns, types)], names=names)
             yield pa.RecordBatch.from_arrays([row, quality], names=["row", "quality"])
 
@@ -153,8 +160,9 @@ def clean_lines(docs: DataFrame, into: str = "quality", **options) -> DataFrame:
 
 def kept_documents(docs: DataFrame, **rules) -> DataFrame:
     """Documents that pass, with their failing lines removed; columns are those of ``docs``."""
-    judged = judged_rows(docs, **rules).where("quality.kept")
-    fixed = {"text": F.col("quality.clean_text").alias("text"), "n_chars": F.char_length("quality.clean_text").cast("long").alias("n_chars")}
+    judged = judged_rows(docs, only_kept=True, **rules)
+    text = F.coalesce("quality.clean_text", "row.text")
+    fixed = {"text": text.alias("text"), "n_chars": F.char_length(text).cast("long").alias("n_chars")}
     return judged.select(*[fixed.get(c, F.col(f"row.`{c}`")) for c in docs.columns])
 
 
