@@ -298,10 +298,15 @@ def plain_tokens(texts: DataFrame, head: Head, total: int, types: int) -> DataFr
     return texts.select("key", "text").mapInArrow(run, "key long, w long, n long, whole boolean, base double")
 
 
-def katz_scores(docs: DataFrame, held_out, head_words: int = 200_000, bucket_tokens: int = 1 << 19) -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score: log10 probabilities of whole texts."""
+def katz_scores(docs: DataFrame, held_out, head_words: int = 200_000, bucket_tokens: int = 1 << 19, written: bool = False) -> DataFrame:
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score: log10 probabilities of whole texts.
+
+    Rows are numbered, and several passes must number them alike.  Only the scan of a written table does so by itself, so other
+    input is written first; ``written`` says that ``docs`` is such a scan.
+    """
     spark = docs.sparkSession
-    texts = docs.select("doc_id", "text", held_out.alias("held"), F.monotonically_increasing_id().alias("key"))
+    docs = docs.select("doc_id", "text", held_out.alias("held"))
+    texts = (docs if written else materialise(docs, "texts")).withColumn("key", F.monotonically_increasing_id())
     counts = materialise(word_counts(texts), "word-counts")
     train_docs = texts.where("not held").count()
     # Counts above 2**17 are one class here, so that this stays small.
@@ -357,4 +362,4 @@ def katz_scores(docs: DataFrame, held_out, head_words: int = 200_000, bucket_tok
 def op3_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     held = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 10 == 0
-    return katz_scores(docs, held)
+    return katz_scores(docs, held, written=True)
