@@ -27,9 +27,9 @@ from ..session import scratch_table
 class HingeParams:
     alpha: float = 1e-4
     l1_ratio: float = 0.0
-    rounds: int = 50
+    rounds: int = 60
     tolerance: float = 1e-5
-    patience: int = 10
+    patience: int = 12
     batch: int = 32
     seed: int = 42
     merge: int = 8
@@ -121,7 +121,7 @@ def fit_hinge(df: DataFrame, features: str, label: str = "TARGET", key: str = "S
         raise ValueError("no rows to train on")
     size = len(first["x"])
     square = rows.agg(F.avg(F.aggregate("x", F.lit(0.0), lambda t, v: t + v * v))).first()[0]
-    first_rate = 8.0 / (1.0 + square)
+    first_rate = 4.0 / (1.0 + square)
     now = (np.zeros(size), 0.0)
     best, best_at, since = objective(rows, [now], params)[0], now, 0
     rounds: list[tuple[np.ndarray, float]] = []
@@ -129,13 +129,16 @@ def fit_hinge(df: DataFrame, features: str, label: str = "TARGET", key: str = "S
         w, b = now
         rate = first_rate / (1 + number) ** 0.5
 
-        def run(batches: Iterator[pa.RecordBatch], w=w, b=b, rate=rate) -> Iterator[pa.RecordBatch]:
+        def run(batches: Iterator[pa.RecordBatch], w=w, b=b, rate=rate, number=number) -> Iterator[pa.RecordBatch]:
             from pyspark import TaskContext
 
             total, n, own, bias = np.zeros(size + 1), 0, w, b
+            rng = np.random.default_rng([params.seed, number, TaskContext.get().partitionId()])
             for batch in batches:
                 if batch.num_rows:
                     x, y = _matrix(batch, size)
+                    order = rng.permutation(len(x))
+                    x, y = x[order], y[order]
                     own, bias, sum_w, sum_b = local_pass(own, bias, x, y, rate, params)
                     total, n = total + np.append(sum_w, sum_b), n + len(x)
             part = pa.array([TaskContext.get().partitionId() % params.merge], pa.int32())
