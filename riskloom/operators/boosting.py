@@ -86,25 +86,27 @@ class BoostedModel:
     trees: list[Tree]
 
     def predict(self, df: DataFrame, score: str = "score", pred: str = "pred") -> DataFrame:
-        """``df`` with the probability of class 1 and the class at one half, as Spark expressions of the trees."""
-        total = F.lit(self.base)
-        for tree in self.trees:
-            total = total + _tree_column(tree, self.features, self.edges, 0)
-        probability = 1 / (1 + F.exp(-total))
-        out = df.withColumn(score, probability)
-        return out.withColumn(pred, (F.col(score) > 0.5).cast("int"))
+        """``df`` with the probability of class 1 and the class at one half.
+
+        Bins are Spark expressions; the trees run over Arrow batches of them, since as one expression they would soon be too
+        large to compile.
+        """
+        from pyspark.sql.functions import pandas_udf
+
+        trees, base, width = self.trees, self.base, len(self.features)
 
+        @pandas_udf("double")
+        def probability(bins):
+            import pandas as pd
 
-def _tree_column(tree: Tree, features: list[str], edges: list[list[float]], node: int) -> Column:
-    if node not in tree.splits:
-        return F.lit(tree.values.get(node, 0.0))
-    s = tree.splits[node]
-    x = F.col(features[s.feature]).cast("double")
-    missing = x.isNull() | F.isnan(x)
-    # Bin b ends at edge b - 1; the last bin has no upper edge, so a split behind it parts values from missing ones.
-    inside = x <= edges[s.feature][s.bin - 1] if s.bin <= len(edges[s.feature]) else F.lit(True)
-    left = F.when(missing, F.lit(s.missing_left)).otherwise(inside)
-    return F.when(left, _tree_column(tree, features, edges, 2 * node + 1)).otherwise(_tree_column(tree, features, edges, 2 * node + 2))
+            if not len(bins):
+                return pd.Series([], dtype="float64")
+            b = np.stack(bins.to_numpy()).reshape(-1, width)
+            raw = base + sum((tree.scores(b) for tree in trees), np.zeros(len(b)))
+            return pd.Series(1 / (1 + np.exp(-raw)))
+
+        out = df.withColumn(score, probability(binned(df, self.features, self.edges)))
+        return out.withColumn(pred, (F.col(score) > 0.5).cast("int"))
 
 
 def bin_edges(df: DataFrame, features: Sequence[str], bins: int) -> list[list[float]]:

@@ -31,31 +31,42 @@ def minority(df: DataFrame, label: str) -> tuple[object, int, int] | None:
     return (sizes[0][1], sizes[0][0], sizes[-1][0]) if len(sizes) > 1 else None
 
 
-def synthetic_rows(df: DataFrame, features: Sequence[str], label: str = "TARGET", key: str = "SK_ID_CURR", k: int = 5, seed: int = SEED) -> DataFrame:
-    """(base, copy, neighbour, step, label, features): the new rows of the minority class.
+def minority_neighbours(df: DataFrame, vector: str, value: object, label: str = "TARGET", key: str = "SK_ID_CURR", k: int = 5) -> DataFrame:
+    """(key, neighbours) of the rows of class ``value``, within that class; ``vector`` is an array of doubles."""
+    rows = df.where(F.col(label) == F.lit(value)).select(F.col(key).cast("long").alias("key"), F.col(vector).alias("vector"))
+    return nearest_neighbours(rows, "key", "vector", k)
+
 
-    Rows with a null or non-finite feature give none and are no neighbours; a minority row without any
+def synthetic_vectors(df: DataFrame, vector: str, label: str = "TARGET", key: str = "SK_ID_CURR", k: int = 5, seed: int = SEED) -> DataFrame:
+    """(base, copy, neighbour, step, label, vector): the new rows of the minority class.
+
+    Rows with a null or non-finite component give none and are no neighbours; a minority row without any
     neighbour is repeated.  No rows where there is one class only or the classes are equal.
     """
     small = minority(df, label)
     value, new = (small[0], small[2] - small[1]) if small else (None, 0)
-    vector = F.array(*[F.col(c).cast("double") for c in features])
-    rows = df.where(F.col(label) == F.lit(value)).select(F.col(key).cast("long").alias("key"), vector.alias("vector"))
-    near = scratch_table(nearest_neighbours(rows, "key", "vector", k), "near")
+    near = scratch_table(minority_neighbours(df, vector, value, label, key, k), "near")
     n = near.count()
     ranked = ordered_scan(near.withColumn("_h", hash_number(F.col("key"), F.lit(seed))), [], [F.col("_h"), F.col("key")], rank_col="_r")
     share, rest = (new // n, new % n) if n else (0, 0)
-    copies = F.lit(share) + F.when(F.col("_r") <= rest, 1).otherwise(0)
+    copies = (F.lit(share) + F.when(F.col("_r") <= rest, 1).otherwise(0)).cast("int")
     dealt = ranked.withColumn("copies", copies).where("copies > 0").select("key", "neighbours", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy"))
     size = F.size("neighbours")
     pick = F.when(size > 0, F.pmod(hash_number(F.col("key"), F.col("copy"), F.lit(seed), F.lit("neighbour")), size)).cast("int")
     step = hash_number(F.col("key"), F.col("copy"), F.lit(seed), F.lit("step")) / F.lit(float(1 << 32))
     drawn = dealt.select("key", "copy", F.coalesce(F.get(F.col("neighbours"), pick)["id"], F.col("key")).alias("neighbour"), step.alias("step"))
+    rows = df.where(F.col(label) == F.lit(value)).select(F.col(key).cast("long").alias("key"), F.col(vector).alias("vector"))
     vectors = scratch_table(rows.join(near.select("key"), "key"), "vectors")
     pair = drawn.join(vectors, "key").join(vectors.select(F.col("key").alias("neighbour"), F.col("vector").alias("towards")), "neighbour")
     moved = F.zip_with("vector", "towards", lambda a, b: a + F.col("step") * (b - a))
-    out = pair.select(F.col("key").alias("base"), "copy", "neighbour", "step", moved.alias("_x"))
-    return out.select("base", "copy", "neighbour", "step", F.lit(value).cast(df.schema[label].dataType).alias(label), *[F.col("_x")[i].alias(c) for i, c in enumerate(features)])
+    return pair.select(F.col("key").alias("base"), "copy", "neighbour", "step", F.lit(value).cast(df.schema[label].dataType).alias(label), moved.alias("vector"))
+
+
+def synthetic_rows(df: DataFrame, features: Sequence[str], label: str = "TARGET", key: str = "SK_ID_CURR", k: int = 5, seed: int = SEED) -> DataFrame:
+    """(base, copy, neighbour, step, label, features): ``synthetic_vectors`` of numeric columns."""
+    vector = F.array(*[F.col(c).cast("double") for c in features])
+    new = synthetic_vectors(df.select(key, label, vector.alias("_x")), "_x", label, key, k, seed)
+    return new.select("base", "copy", "neighbour", "step", label, *[F.col("vector")[i].alias(c) for i, c in enumerate(features)])
 
 
 def oversample(df: DataFrame, features: Sequence[str], label: str = "TARGET", key: str = "SK_ID_CURR", k: int = 5, seed: int = SEED, flag: str = "synthetic") -> DataFrame:

@@ -112,7 +112,7 @@ from ..operators import profile as P  # noqa: E402
 from ..operators import registry as R  # noqa: E402
 from ..operators import windows as W  # noqa: E402
 from ..sources import files as FS  # noqa: E402
-from ..session import ensure_checkpoint_dir  # noqa: E402
+from ..session import ensure_checkpoint_dir, scratch_table  # noqa: E402
 
 
 @register("safe_ratio", O.q_safe_ratio)
@@ -573,3 +573,113 @@ def q_wilcoxon_paired(spark, sf_dir):
 @register("evaluation_report", O.q_evaluation_report)
 def q_evaluation_report(spark, sf_dir):
     return round_doubles(EV.evaluation_report(_scores(spark, sf_dir), "y", "pred", "score"))
+
+
+# ---- oversampling, distributions, sketches ---------------------------------------
+
+from ..operators import distribution as DI  # noqa: E402
+from ..operators import modelling as MO  # noqa: E402
+from ..operators import oversampling as OS  # noqa: E402
+from ..operators import sketches as SK  # noqa: E402
+
+
+def _scaled_train(spark, sf_dir):
+    """The published scaled table (doubles as it is written) with labels, training rows only."""
+    scaled = _scaled(spark, sf_dir).filter(F.col("split") == "train")
+    return round_doubles(scaled.select("SK_ID_CURR", "TARGET", *NUMERIC_MODEL))
+
+
+@register("smote_neighbours", O.q_smote_neighbours)
+def q_smote_neighbours(spark, sf_dir):
+    rows = _scaled_train(spark, sf_dir).select("SK_ID_CURR", "TARGET", F.array(*NUMERIC_MODEL).alias("x"))
+    value, _, _ = OS.minority(rows, "TARGET")
+    near = OS.minority_neighbours(rows, "x", value)
+    out = near.select(F.col("key").alias("SK_ID_CURR"), F.posexplode("neighbours").alias("at", "n"))
+    return round_doubles(out.select("SK_ID_CURR", (F.col("at") + 1).alias("place"), F.col("n.id").alias("neighbour"), F.col("n.distance").alias("distance")))
+
+
+@register("smote_rows", O.q_smote_rows)
+def q_smote_rows(spark, sf_dir):
+    return round_doubles(OS.synthetic_rows(_scaled_train(spark, sf_dir), NUMERIC_MODEL))
+
+
+@register("density_curve", O.q_density_curve)
+def q_density_curve(spark, sf_dir):
+    return round_doubles(DI.density_curve(_train(spark, sf_dir), NUMERIC_MODEL[:6]))
+
+
+@register("shapiro_wilk")
+def q_shapiro_wilk(spark, sf_dir):
+    train = _train(spark, sf_dir)
+    return round_doubles(DI.shapiro_wilk(train, _ranked(train), "SK_ID_CURR"))
+
+
+@register("signed_rank", O.q_signed_rank)
+def q_signed_rank(spark, sf_dir):
+    out = DI.signed_rank(_train(spark, sf_dir), "bureau_debt_ratio_mean", "prev_app_credit_ratio_mean")
+    return round_doubles(out.drop("log10_p"))
+
+
+@register("stratified_folds", O.q_stratified_folds)
+def q_stratified_folds(spark, sf_dir):
+    return MO.stratified_folds(_model_base(spark, sf_dir).select("SK_ID_CURR", "TARGET"), 3)
+
+
+@register("one_hot_places", O.q_one_hot_places)
+def q_one_hot_places(spark, sf_dir):
+    split = _split_md5(spark, sf_dir)
+    codes = MO.category_codes(split.filter(F.col("split") == "train"), CATEGORICAL_MODEL)
+    return MO.one_hot_entries(split, codes, CATEGORICAL_MODEL)
+
+
+@register("sketch_profile")
+def q_sketch_profile(spark, sf_dir):
+    rows = _train(spark, sf_dir).select("SK_ID_CURR", *NUMERIC_MODEL)
+    return round_doubles(SK.sketch_profile(SK.merged(SK.column_sketches(rows, NUMERIC_MODEL, F.pmod("SK_ID_CURR", F.lit(8))))))
+
+
+@register("sketch_drift")
+def q_sketch_drift(spark, sf_dir):
+    ref, tgt = _drift_sides(spark, sf_dir)
+    columns = DR.drift_candidates(ref, tgt)
+    return round_doubles(SK.sketch_drift(SK.merged(SK.column_sketches(ref, columns)), SK.merged(SK.column_sketches(tgt, columns))))
+
+
+# ---- models, evaluated --------------------------------------------------------------
+
+
+def _prepared(spark, sf_dir):
+    """All rows of the model table with split and x, prepared on training rows."""
+    split = scratch_table(_split_md5(spark, sf_dir), "model-split")
+    preparation = MO.fit_preparation(split.filter(F.col("split") == "train"), NUMERIC_MODEL, CATEGORICAL_MODEL)
+    return scratch_table(preparation.apply(split), "model-frame")
+
+
+def _report_query(kind):
+    def run(spark, sf_dir):
+        return round_doubles(MO.model_report(MO.predictions(_prepared(spark, sf_dir), kind)))
+
+    return run
+
+
+for _kind in MO.KINDS:
+    register(f"ml_report_{_kind}")(_report_query(_kind))
+
+
+#: Fewer trees than the study's, and one fifth of the training rows as there; every other value is the study's.
+GRID_TREES = {"random_forest": {"trees": 20}, "leafwise_trees": {"trees": 4}}
+
+
+def _grid_query(kind):
+    def run(spark, sf_dir):
+        base = ML.stratified_subsample(_model_base(spark, sf_dir), 0.2, method="md5")
+        grid = [point | GRID_TREES.get(kind, {}) for point in MO.GRIDS[kind]]
+        if kind == "boosted_trees":
+            grid = [point | {"trees": point["trees"] // 25} for point in grid]
+        return round_doubles(MO.grid_scores(base, kind, grid, NUMERIC_MODEL, CATEGORICAL_MODEL, 5 if kind == "boosted_trees" else 3))
+
+    return run
+
+
+for _kind in MO.GRIDS:
+    register(f"ml_grid_{_kind}")(_grid_query(_kind))

@@ -995,3 +995,80 @@ UNION ALL SELECT 'support', class_label, CAST(support AS DOUBLE) FROM cr"""
     cols = [("metric", "s"), ("class_label", "s"), ("value", "d")]
     return with_views(_final(cols, "er"), "v_scores",
                       extra=_report_ctes() + _roc_ctes() + [("cmx", cm), ("stx", st), ("aucx", auc), ("er", allr)])
+
+
+# ---- oversampling, distributions, folds, encoding ---------------------------------
+
+
+def _published_scaled() -> list[tuple[str, str]]:
+    cols = ", ".join(f"CAST({canon(f'CAST({c} AS DOUBLE)')} AS DOUBLE) AS {c}" for c in NUMERIC_MODEL)
+    pub = f"SELECT SK_ID_CURR, TARGET, {cols} FROM sc WHERE split = 'train'"
+    small = "SELECT TARGET AS value, count(*) AS n, (SELECT max(n) FROM (SELECT count(*) AS n FROM pub GROUP BY TARGET)) AS most FROM pub GROUP BY TARGET ORDER BY n, TARGET LIMIT 1"
+    square = " + ".join(f"(a.{c} - b.{c}) * (a.{c} - b.{c})" for c in NUMERIC_MODEL)
+    nb = f"""SELECT a.SK_ID_CURR, b.SK_ID_CURR AS neighbour, sqrt({square}) AS distance
+FROM pub a, pub b, small WHERE a.TARGET = value AND b.TARGET = value AND a.SK_ID_CURR <> b.SK_ID_CURR"""
+    nr = "SELECT *, row_number() OVER (PARTITION BY SK_ID_CURR ORDER BY distance, neighbour) AS place FROM nb"
+    return _scale_ctes() + [("pub", pub), ("small", small), ("nb", nb), ("nr", f"SELECT * FROM ({nr}) WHERE place <= 5")]
+
+
+def q_smote_neighbours() -> str:
+    cols = [("SK_ID_CURR", "l"), ("place", "i"), ("neighbour", "l"), ("distance", "d")]
+    return with_assembled(_published_scaled(), _final(cols, "nr"))
+
+
+def _hash_number(text: str) -> str:
+    return f"CAST('0x' || substr(md5({text}), 1, 8) AS BIGINT)"
+
+
+def q_smote_rows() -> str:
+    key = "CAST(SK_ID_CURR AS VARCHAR)"
+    rk = f"SELECT SK_ID_CURR, row_number() OVER (ORDER BY {_hash_number(key + chr(32) + '||' + chr(39) + ':42' + chr(39))}, SK_ID_CURR) AS r FROM pub, small WHERE TARGET = value"
+    dealt = "SELECT SK_ID_CURR, unnest(range(1, 1 + CAST((most - n) // n + CASE WHEN r <= (most - n) % n THEN 1 ELSE 0 END AS BIGINT))) AS copy FROM rk, small"
+    tag = f"{key} || ':' || CAST(copy AS VARCHAR) || ':42:'"
+    sizes = "SELECT SK_ID_CURR, max(place) AS k FROM nr GROUP BY SK_ID_CURR"
+    drawn = f"""SELECT d.SK_ID_CURR, d.copy, {_hash_number(tag.replace('SK_ID_CURR', 'd.SK_ID_CURR') + " || 'neighbour'")} % k + 1 AS place,
+       {_hash_number(tag.replace('SK_ID_CURR', 'd.SK_ID_CURR') + " || 'step'")} / 4294967296.0::DOUBLE AS step
+FROM dealt d JOIN sizes USING (SK_ID_CURR)"""
+    moved = ", ".join(f"a.{c} + d.step * (b.{c} - a.{c}) AS {c}" for c in NUMERIC_MODEL)
+    sm = f"""SELECT d.SK_ID_CURR AS base, d.copy, n.neighbour, d.step, a.TARGET, {moved}
+FROM drawn d JOIN nr n USING (SK_ID_CURR, place) JOIN pub a ON a.SK_ID_CURR = d.SK_ID_CURR JOIN pub b ON b.SK_ID_CURR = n.neighbour"""
+    cols = [("base", "l"), ("copy", "i"), ("neighbour", "l"), ("step", "d"), ("TARGET", "i")] + [(c, "d") for c in NUMERIC_MODEL]
+    return with_assembled(_published_scaled() + [("rk", rk), ("dealt", dealt), ("sizes", sizes), ("drawn", drawn), ("sm", sm)], _final(cols, "sm"))
+
+
+def q_density_curve() -> str:
+    lf = "\nUNION ALL\n".join(f"SELECT '{c}' AS feature, CAST({c} AS DOUBLE) AS v FROM tr WHERE {c} IS NOT NULL" for c in NUMERIC_MODEL[:6])
+    st = """SELECT feature, count(*) AS n, min(v) AS lo, (max(v) - min(v)) / 199 AS step, stddev_samp(v) * power(CAST(count(*) AS DOUBLE), -0.2) AS h
+FROM lf GROUP BY feature HAVING max(v) > min(v)"""
+    near = "SELECT feature, least(floor((v - lo) / step), 198) AS spot, (v - lo) / step - least(floor((v - lo) / step), 198) AS part FROM lf JOIN st USING (feature)"
+    ms = "SELECT feature, spot, sum(mass) AS mass FROM (SELECT feature, spot, 1 - part AS mass FROM near UNION ALL SELECT feature, spot + 1, part FROM near) GROUP BY feature, spot"
+    cv = """SELECT feature, point, lo + point * step AS x,
+       sum(mass * exp(-((point - spot) * step / h) * ((point - spot) * step / h) / 2)) / (n * h * sqrt(2 * pi())) AS density
+FROM (SELECT *, unnest(range(200)) AS point FROM st) JOIN ms USING (feature) GROUP BY feature, point, lo, step, n, h"""
+    cols = [("feature", "s"), ("point", "i"), ("x", "d"), ("density", "d")]
+    return with_assembled([_train_cte(), ("lf", lf), ("st", st), ("near", near), ("ms", ms), ("cv", cv)], _final(cols, "cv"))
+
+
+def q_signed_rank() -> str:
+    df = "SELECT bureau_debt_ratio_mean - prev_app_credit_ratio_mean AS d FROM tr"
+    sz = "SELECT abs(d) AS size, CAST(count(*) FILTER (WHERE d > 0) AS DOUBLE) AS pos, CAST(count(*) AS DOUBLE) AS t FROM df WHERE d <> 0 GROUP BY abs(d)"
+    rk = "SELECT *, sum(t) OVER (ORDER BY size) - (t - 1) / 2 AS mid FROM sz"
+    sm = """SELECT sum(t) AS n, coalesce(sum(CASE WHEN t > 1 THEN t END), 0) AS n_ties, sum(mid * pos) AS w_plus, sum(mid * (t - pos)) AS w_minus,
+       sum(t * t * t - t) AS tied FROM rk"""
+    zz = """SELECT *, least(w_plus, w_minus) AS w, n_ties = 0 AND n <= 50 AS exact,
+       (least(w_plus, w_minus) - n * (n + 1) / 4) / sqrt(n * (n + 1) * (2 * n + 1) / 24 - tied / 48) AS z FROM sm"""
+    cols = [("n", "l"), ("n_ties", "l"), ("w_plus", "d"), ("w_minus", "d"), ("w", "d"), ("z", "d"), ("exact", "b")]
+    return with_assembled([_train_cte(), ("df", df), ("sz", sz), ("rk", rk), ("sm", sm), ("zz", zz)], _final(cols, "zz"))
+
+
+def q_stratified_folds() -> str:
+    body = "SELECT SK_ID_CURR, TARGET, CAST((row_number() OVER (PARTITION BY TARGET ORDER BY md5(CAST(SK_ID_CURR AS VARCHAR) || ':42'), SK_ID_CURR) - 1) % 3 AS INTEGER) AS fold FROM tr"
+    return with_assembled([_train_cte(), ("sf", body)], _final([("SK_ID_CURR", "l"), ("TARGET", "i"), ("fold", "i")], "sf"))
+
+
+def q_one_hot_places() -> str:
+    values = " UNION ALL ".join(f"SELECT DISTINCT {i} AS col, '{c}' AS feature, CAST({c} AS VARCHAR) AS value FROM ms WHERE split = 'train' AND {c} IS NOT NULL" for i, c in enumerate(CATEGORICAL_MODEL))
+    codes = f"SELECT *, row_number() OVER (ORDER BY col, value) - 1 AS idx FROM ({values})"
+    rows = " UNION ALL ".join(f"SELECT SK_ID_CURR, '{c}' AS feature, CAST({c} AS VARCHAR) AS value FROM ms" for c in CATEGORICAL_MODEL)
+    oh = f"SELECT r.SK_ID_CURR, r.feature, c.idx AS \"index\" FROM ({rows}) r JOIN codes c USING (feature, value)"
+    return with_assembled(_split_ctes() + [("codes", codes), ("oh", oh)], 'SELECT CAST(SK_ID_CURR AS BIGINT) AS SK_ID_CURR, feature, CAST("index" AS INTEGER) AS "index" FROM oh')
