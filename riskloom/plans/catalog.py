@@ -666,14 +666,14 @@ for _kind in MO.KINDS:
     register(f"ml_report_{_kind}")(_report_query(_kind))
 
 
-#: Fewer trees than the study's, and one fifth of the training rows as there; every other value is the study's.
-GRID_TREES = {"random_forest": {"trees": 20}, "leafwise_trees": {"trees": 4}}
+#: Fewer trees and rounds than the study's, and one fifth of the training rows; every other value is the study's.
+GRID_SIZES = {"random_forest": {"trees": 20}, "leafwise_trees": {"trees": 4}, "hinge_sgd": {"rounds": 8}}
 
 
 def _grid_query(kind):
     def run(spark, sf_dir):
         base = ML.stratified_subsample(_model_base(spark, sf_dir), 0.2, method="md5")
-        grid = [point | GRID_TREES.get(kind, {}) for point in MO.GRIDS[kind]]
+        grid = [point | GRID_SIZES.get(kind, {}) for point in MO.GRIDS[kind]]
         if kind == "boosted_trees":
             grid = [point | {"trees": point["trees"] // 25} for point in grid]
         return round_doubles(MO.grid_scores(base, kind, grid, NUMERIC_MODEL, CATEGORICAL_MODEL, 5 if kind == "boosted_trees" else 3))
