@@ -2,7 +2,6 @@
 
 from .expr import (  # noqa: F401
     abs_recency,
-    bucket_index,
     bucket_label,
     clip_negative,
     flag_eq,
@@ -10,8 +9,6 @@ from .expr import (  # noqa: F401
     flag_in,
     flag_le,
     floored_shortfall,
-    minmax_normalise,
-    percent,
     psi_term,
     round_doubles,
     safe_ratio,

@@ -70,15 +70,6 @@ def bucket_label(col: ColumnOrName, edges: Sequence[float]) -> Column:
     return expr.otherwise(F.lit(f"b{len(edges)}"))
 
 
-def bucket_index(col: ColumnOrName, edges: Sequence[float]) -> Column:
-    """Integer form of :func:`bucket_label` (-1 for null)."""
-    c = _c(col)
-    expr = F.when(c.isNull(), F.lit(-1))
-    for i, edge in enumerate(edges):
-        expr = expr.when(c <= F.lit(float(edge)), F.lit(i))
-    return expr.otherwise(F.lit(len(edges)))
-
-
 # Fixed value: floor applied to bucket shares before the log ratio.
 PSI_FLOOR = 1e-6
 
@@ -90,16 +81,6 @@ def psi_term(target_share: ColumnOrName, reference_share: ColumnOrName, floor: f
     return (t - r) * F.log(t / r)
 
 
-def percent(part: ColumnOrName, whole: ColumnOrName) -> Column:
-    """``100 * part / whole``; null when ``whole`` is 0."""
-    return F.try_divide(_c(part).cast("double") * F.lit(100.0), _c(whole).cast("double"))
-
-
-def minmax_normalise(col: ColumnOrName, lo: ColumnOrName, hi: ColumnOrName) -> Column:
-    """``(x - lo) / (hi - lo)``; null when the range is empty."""
-    return safe_ratio(_c(col) - _c(lo), _c(hi) - _c(lo))
-
-
 def type_name(dtype: T.DataType) -> str:
     """Type name as printed by PySpark (``DoubleType()``)."""
     return repr(dtype)

@@ -133,6 +133,30 @@ def shapiro_wilk(df: DataFrame, features: Sequence[str], key: str, sample: int =
     return out.withColumn("z", z).withColumn("log10_p", F.when(F.col("n") >= 3, p))
 
 
+def ks_normal(df: DataFrame, features: Sequence[str]) -> DataFrame:
+    """(feature, n, statistic, log10_p): the Kolmogorov-Smirnov test of each feature, all rows, against the standard normal.
+
+    Repeated values become one with their number; an ordered scan over the different values of all features counts what
+    lies below each, and the statistic is the greatest distance on either side of a step.  p is the limiting
+    distribution with Stephens' correction for n.
+    """
+    counts = long_form(df, features).groupBy("feature", (F.col("value") + F.lit(0.0)).alias("value")).agg(F.count(F.lit(1)).cast("double").alias("t"))
+    ranked = ordered_scan(counts, ["feature"], [F.col("value")], sum_cols=["t"], rank_col="_r")
+    ranked = scratch_table(ranked, "ks")
+    sizes = ranked.groupBy("feature").agg(F.sum("t").alias("n"))  # one row per feature
+    low = F.pow(F.lit(10.0), log10_upper_tail(F.col("value")))
+    cdf = 1 - low
+    upto = F.col("t_running") / F.col("n")
+    gap = F.greatest(upto - cdf, cdf - (F.col("t_running") - F.col("t")) / F.col("n"))
+    out = ranked.join(F.broadcast(sizes), "feature").groupBy("feature", "n").agg(F.max(gap).alias("statistic"))
+    root = F.sqrt("n")
+    size = (root + 0.12 + 0.11 / root) * F.col("statistic")
+    # The terms after the first, as a share of it: small where the first is.
+    rest = F.aggregate(F.sequence(F.lit(1), F.lit(40)), F.lit(0.0), lambda s, k: s + F.when(k % 2 == 0, 1.0).otherwise(-1.0) * F.exp(-2 * ((k + 1) * (k + 1) - 1) * size * size))
+    p = F.least(F.lit(0.0), math.log10(2) - 2 * size * size / math.log(10) + F.log10(F.greatest(F.lit(1e-300), 1 + rest)))
+    return out.select("feature", F.col("n").cast("long").alias("n"), "statistic", F.when(size < 0.2, 0.0).otherwise(p).alias("log10_p"))
+
+
 def density_curve(df: DataFrame, features: Sequence[str], points: int = 200) -> DataFrame:
     """(feature, point, x, density): a Gaussian kernel density on ``points`` places from the least to the greatest value.
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import scratch_table
 from .ordered import ordered_scan
 
 
@@ -24,36 +25,19 @@ def classification_report(df: DataFrame, label: str = "y", pred: str = "pred") -
     Undefined ratios are 0, as in the usual report.
     """
     cm = confusion_matrix(df, label, pred)
-    classes = cm.select(F.col("label").alias("c")).union(cm.select(F.col("prediction").alias("c"))).distinct()
-    tp = cm.filter(F.col("label") == F.col("prediction")).select(F.col("label").alias("c"), F.col("n_rows").alias("tp"))
-    actual = cm.groupBy(F.col("label").alias("c")).agg(F.sum("n_rows").alias("support"))
-    predicted = cm.groupBy(F.col("prediction").alias("c")).agg(F.sum("n_rows").alias("predicted"))
-    per = (
-        classes.join(tp, "c", "left").join(actual, "c", "left").join(predicted, "c", "left")
-        .select(
-            "c",
-            F.coalesce(F.col("tp"), F.lit(0)).alias("tp"),
-            F.coalesce(F.col("support"), F.lit(0)).alias("support"),
-            F.coalesce(F.col("predicted"), F.lit(0)).alias("predicted"),
-        )
+    hit, none = F.when(F.col("label") == F.col("prediction"), F.col("n_rows")).otherwise(0), F.lit(0).cast("long")
+    # A cell counts for the class of its label and for that of its prediction; the rollup's total row has the accuracy.
+    sides = F.array(
+        F.struct(F.col("label").alias("c"), hit.alias("tp"), F.col("n_rows").alias("support"), none.alias("predicted")),
+        F.struct(F.col("prediction").alias("c"), none.alias("tp"), none.alias("support"), F.col("n_rows").alias("predicted")),
     )
-    precision = F.coalesce(F.try_divide(F.col("tp").cast("double"), F.col("predicted").cast("double")), F.lit(0.0))
-    recall = F.coalesce(F.try_divide(F.col("tp").cast("double"), F.col("support").cast("double")), F.lit(0.0))
-    scored = per.select(F.col("c").cast("string").alias("class_label"), precision.alias("precision"), recall.alias("recall"), "support")
+    per = cm.select(F.inline(sides)).rollup("c").agg(F.grouping("c").alias("total"), *[F.sum(x).alias(x) for x in ("tp", "support", "predicted")])
+    ratio = lambda x: F.coalesce(F.try_divide(F.col("tp").cast("double"), F.col(x).cast("double")), F.lit(0.0))
+    scored = per.select(F.col("c").cast("string").alias("class_label"), "total", ratio("predicted").alias("precision"), ratio("support").alias("recall"), F.col("support").cast("long").alias("support"))
     f1 = F.when((F.col("precision") + F.col("recall")) > 0,
                 2 * F.col("precision") * F.col("recall") / (F.col("precision") + F.col("recall"))).otherwise(F.lit(0.0))
-    report = scored.select("class_label", "precision", "recall", f1.alias("f1"), F.col("support").cast("long").alias("support"))
-    acc = df.agg(
-        F.avg(F.when(F.col(label) == F.col(pred), 1.0).otherwise(0.0)).alias("accuracy"),
-        F.count(F.lit(1)).alias("n"),
-    ).select(
-        F.lit(None).cast("string").alias("class_label"),
-        F.col("accuracy").alias("precision"),
-        F.col("accuracy").alias("recall"),
-        F.col("accuracy").alias("f1"),
-        F.col("n").cast("long").alias("support"),
-    )
-    return report.unionByName(acc)
+    f1 = F.when(F.col("total") == 1, F.col("precision")).otherwise(f1)
+    return scored.select("class_label", "precision", "recall", f1.alias("f1"), "support")
 
 
 def roc_points(df: DataFrame, label: str = "y", score: str = "score") -> DataFrame:
@@ -62,6 +46,7 @@ def roc_points(df: DataFrame, label: str = "y", score: str = "score") -> DataFra
         F.sum(F.when(F.col(label) == 1, 1).otherwise(0)).cast("double").alias("pos"),
         F.sum(F.when(F.col(label) == 1, 0).otherwise(1)).cast("double").alias("neg"),
     )
+    per_score = scratch_table(per_score, "scores")
     run = ordered_scan(per_score, [], [F.col("threshold").desc()], sum_cols=["pos", "neg"], rank_col="_i")
     totals = per_score.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N")).first()  # two numbers
     P = F.lit(float(totals["P"] or 0.0)).alias("P")

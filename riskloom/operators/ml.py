@@ -139,11 +139,6 @@ def class_weights(df: DataFrame, label: str = "TARGET") -> DataFrame:
     return counts.select(label, "n_rows", (F.lit(float(stats["n"])) / (F.lit(float(stats["k"])) * F.col("n_rows"))).alias("weight"))
 
 
-def with_class_weights(df: DataFrame, label: str = "TARGET", weight_col: str = "weight") -> DataFrame:
-    w = class_weights(df, label).select(label, F.col("weight").alias(weight_col))
-    return df.join(F.broadcast(w), on=label, how="left")  # one row per class
-
-
 def encoder_stages(categorical: Sequence[str], numeric: Sequence[str], features: str = "features"):
     """StringIndexer(keep) + OneHotEncoder(dropLast): an unseen or null category encodes as all zeros."""
     idx = [StringIndexer(inputCol=c, outputCol=f"{c}__idx", handleInvalid="keep", stringOrderType="alphabetAsc") for c in categorical]

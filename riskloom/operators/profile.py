@@ -86,10 +86,3 @@ def high_null_columns(df: DataFrame, threshold_pct: float = 50.0) -> DataFrame:
 def null_report_top_n(df: DataFrame, top_n: int = 200) -> DataFrame:
     """The ``top_n`` columns with the highest null percentage (a top-k report)."""
     return null_percentages(df).orderBy(F.col("null_pct").desc(), F.col("feature")).limit(top_n)
-
-
-def shape_report(df: DataFrame, name: str) -> DataFrame:
-    """(table_name, n_rows, n_columns) in one aggregate."""
-    return df.agg(F.count(F.lit(1)).alias("n_rows")).select(
-        F.lit(name).alias("table_name"), "n_rows", F.lit(len(df.columns)).cast("long").alias("n_columns")
-    )

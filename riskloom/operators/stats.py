@@ -35,10 +35,6 @@ def numeric_columns(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, _NUMERIC) and f.name not in exclude]
 
 
-def categorical_columns(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
-    return [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType) and f.name not in exclude]
-
-
 def _nan_to_null(c: Column) -> Column:
     return F.when(F.isnan(c), F.lit(None).cast("double")).otherwise(c)
 
@@ -165,19 +161,6 @@ def moments(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return long.select("feature", "n", s.alias("skewness"), k.alias("kurtosis"), jb.alias("jarque_bera"), F.exp(-jb / 2.0).alias("jb_p_value"))
 
 
-def ks_normal(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Kolmogorov-Smirnov test of each column against N(0, 1) (pyspark.ml, distributed sort)."""
-    from pyspark.ml.stat import KolmogorovSmirnovTest
-
-    spark = df.sparkSession
-    rows = []
-    for c in cols:  # one distributed job per column; the column list is small and fixed
-        data = df.select(F.col(c).cast("double").alias(c)).na.drop()
-        res = KolmogorovSmirnovTest.test(data, c, "norm", 0.0, 1.0).first()
-        rows.append((c, float(res.statistic), float(res.pValue)))
-    return spark.createDataFrame(rows, "feature string, statistic double, p_value double")
-
-
 # ---------------------------------------------------------------------------
 # contingency, chi-squared, Cramer's V
 # ---------------------------------------------------------------------------
@@ -308,9 +291,12 @@ def chi2_vs_target(df: DataFrame, cols: Sequence[str], target: str = "TARGET") -
 
 
 def cramers_v_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """(feature_a, feature_b, cramers_v) for all ordered pairs; diagonal 1.0; Yates for 2x2."""
+    """(feature_a, feature_b, cramers_v) for all ordered pairs; diagonal 1.0; Yates for 2x2.
+
+    Each unordered pair is counted once: the statistic is the same either way round.
+    """
     cols = list(cols)
-    pairs = [(a, b) for a in cols for b in cols if a != b]
+    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1 :]]
     spark = df.sparkSession
     if not pairs:
         return spark.createDataFrame([(c, c, 1.0) for c in cols], "feature_a string, feature_b string, cramers_v double")
@@ -324,7 +310,8 @@ def cramers_v_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     table = chi2_table(counts, ["feature_a", "feature_b"], "va", "vb")
     k = F.least(F.col("n_rows"), F.col("n_cols")) - 1
     v = F.sqrt(F.try_divide(F.col("chi2"), F.col("n") * k))
-    off = table.select("feature_a", "feature_b", v.alias("cramers_v"))
+    both = F.explode(F.array(F.struct("feature_a", "feature_b"), F.struct(F.col("feature_b").alias("feature_a"), F.col("feature_a").alias("feature_b"))))
+    off = table.select(both.alias("p"), v.alias("cramers_v")).select("p.feature_a", "p.feature_b", "cramers_v")
     diag = spark.createDataFrame([(c, c, 1.0) for c in cols], "feature_a string, feature_b string, cramers_v double")
     return off.unionByName(diag)
 

@@ -356,7 +356,7 @@ def _ranked(train):
 
 @register("corr_matrix", O.q_corr_matrix)
 def q_corr_matrix(spark, sf_dir):
-    train = _train(spark, sf_dir)
+    train = scratch_table(_train(spark, sf_dir), "train")  # read twice
     top = _ranked(train)
     return round_doubles(ST.corr_matrix(train, top + ["TARGET"]))
 
@@ -376,10 +376,10 @@ def q_jarque_bera(spark, sf_dir):
     return round_doubles(_moments(spark, sf_dir))
 
 
-@register("ks_normal")
+@register("ks_normal", O.q_ks_normal)
 def q_ks_normal(spark, sf_dir):
-    train = _train(spark, sf_dir)
-    return ST.ks_normal(train, _ranked(train))
+    train = scratch_table(_train(spark, sf_dir), "train")  # read twice
+    return round_doubles(DI.ks_normal(train, _ranked(train)))
 
 
 @register("contingency_table", O.q_contingency_table)
@@ -399,7 +399,8 @@ def q_cramers_v(spark, sf_dir):
 
 @register("top_categories_by_target", O.q_top_categories)
 def q_top_categories(spark, sf_dir):
-    table = td.categorical(td.TestTables(spark, sf_dir))
+    # Read once for the ranking and twice for each column.
+    table = scratch_table(td.categorical(td.TestTables(spark, sf_dir)).select("TARGET", *CATEGORICAL_COLS), "categorical")
     best = ST.chi2_vs_target(table, CATEGORICAL_COLS, "TARGET").orderBy(F.desc("chi2"), "feature").limit(5).collect()  # 5 names
     parts = [ST.top_categories_by_target(table, r["feature"], "TARGET", 10).select(F.lit(r["feature"]).alias("feature"), F.col(r["feature"]).cast("string").alias("category"), "TARGET", "n_rows") for r in best]
     return reduce(DataFrame.unionByName, parts)
@@ -407,7 +408,7 @@ def q_top_categories(spark, sf_dir):
 
 @register("histogram_50", O.q_histogram_50)
 def q_histogram_50(spark, sf_dir):
-    train = _train(spark, sf_dir)
+    train = scratch_table(_train(spark, sf_dir), "train")  # read three times
     return round_doubles(ST.histogram(train, _ranked(train), 50))
 
 
@@ -610,7 +611,7 @@ def q_density_curve(spark, sf_dir):
 
 @register("shapiro_wilk")
 def q_shapiro_wilk(spark, sf_dir):
-    train = _train(spark, sf_dir)
+    train = scratch_table(_train(spark, sf_dir), "train")  # read twice
     return round_doubles(DI.shapiro_wilk(train, _ranked(train), "SK_ID_CURR"))
 
 

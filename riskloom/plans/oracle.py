@@ -1072,3 +1072,19 @@ def q_one_hot_places() -> str:
     rows = " UNION ALL ".join(f"SELECT SK_ID_CURR, '{c}' AS feature, CAST({c} AS VARCHAR) AS value FROM ms" for c in CATEGORICAL_MODEL)
     oh = f"SELECT r.SK_ID_CURR, r.feature, c.idx AS \"index\" FROM ({rows}) r JOIN codes c USING (feature, value)"
     return with_assembled(_split_ctes() + [("codes", codes), ("oh", oh)], 'SELECT CAST(SK_ID_CURR AS BIGINT) AS SK_ID_CURR, feature, CAST("index" AS INTEGER) AS "index" FROM oh')
+
+
+def q_ks_normal() -> str:
+    lf = "\nUNION ALL\n".join(f"SELECT '{c}' AS feature, CAST({c} AS DOUBLE) AS v FROM tr WHERE {c} IS NOT NULL AND '{c}' IN (SELECT feature FROM ct)" for c in NUMERIC_MASTER)
+    ct = "SELECT feature, v, CAST(count(*) AS DOUBLE) AS t FROM lf GROUP BY feature, v"
+    rk = "SELECT *, sum(t) OVER (PARTITION BY feature ORDER BY v) AS upto, sum(t) OVER (PARTITION BY feature) AS n FROM cnt"
+    # The distribution function by its series around 0, each term from logarithms of factorials.
+    series = "list_sum(list_transform(range(0, 120), lambda k: exp((2 * k + 1) * ln(abs(v)) - lgamma(2.0 * k + 2) + k * ln(2.0) + lgamma(k + 1.0))))"
+    phi = f"CASE WHEN v = 0 THEN 0.5 WHEN abs(v) > 7 THEN CASE WHEN v > 0 THEN 1.0 ELSE 0.0 END ELSE 0.5 + sign(v) * exp(-v * v / 2) / sqrt(2 * pi()) * {series} END"
+    st = f"SELECT feature, n, max(greatest(upto / n - phi, phi - (upto - t) / n)) AS statistic FROM (SELECT *, {phi} AS phi FROM rk) GROUP BY feature, n"
+    size = "((sqrt(n) + 0.12 + 0.11 / sqrt(n)) * statistic)"
+    rest = f"list_sum(list_transform(range(1, 41), lambda k: CASE WHEN k % 2 = 0 THEN 1.0 ELSE -1.0 END * exp(-2 * ((k + 1) * (k + 1) - 1) * {size} * {size})))"
+    ks = f"""SELECT feature, n, statistic, CASE WHEN {size} < 0.2 THEN 0.0
+  ELSE least(0.0, log10(2.0) - 2 * {size} * {size} / ln(10.0) + log10(greatest(1e-300, 1 + {rest}))) END AS log10_p FROM st"""
+    cols = [("feature", "s"), ("n", "l"), ("statistic", "d"), ("log10_p", "d")]
+    return with_assembled([*_corr_top(), ("lf", lf), ("cnt", ct), ("rk", rk), ("st", st), ("ks", ks)], _final(cols, "ks"))

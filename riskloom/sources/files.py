@@ -12,7 +12,6 @@ from __future__ import annotations
 
 import csv
 import io
-from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -115,8 +114,3 @@ def write_csv_and_parquet(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(f"{path}/csv")
     df.write.mode("overwrite").parquet(f"{path}/parquet")
 
-
-@lru_cache(maxsize=None)
-def schema_for_header(header: tuple[str, ...]) -> T.StructType:
-    """Memoised name-rule schema of a header."""
-    return build_schema(header)

@@ -86,10 +86,6 @@ def application(t: TestTables) -> DataFrame:
     )
 
 
-def application_split(t: TestTables, split: str) -> DataFrame:
-    return application(t).filter(F.col("SPLIT") == split)
-
-
 def bureau_balance(t: TestTables) -> DataFrame:
     li = t.lineitem
     status = (
