@@ -9,6 +9,7 @@ distributed estimators.  Class imbalance is handled with a weight column
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline
@@ -24,7 +25,7 @@ from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
@@ -201,6 +202,17 @@ def make_classifier(kind: str, n_features: int, label: str = "TARGET", weight: s
     raise ValueError(f"unknown model kind: {kind}")
 
 
+def without_summary(model, spark: SparkSession):
+    """The model as it is read back from the shared folder.
+
+    A model that was just fitted keeps a training summary, which holds the session; once a query of that session has been
+    observed, such a model can no longer be sent to tasks.
+    """
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/model-{uuid.uuid4().hex}"
+    model.write().session(spark).save(path)
+    return type(model).read().session(spark).load(path)
+
+
 def positive_score(pred: DataFrame) -> Column:
     """Score of class 1: probability when the model has one, else the raw margin."""
     if "probability" in pred.columns:
@@ -223,7 +235,7 @@ def fit_and_predict(frame: DataFrame, kind: str, label: str = "TARGET", key: str
         train = replicate_minority(train, label)
     n_features = len(train.select("features").first()["features"])
     n_train = train.count()
-    model = make_classifier(kind, n_features, label, n_train=n_train).fit(train)
+    model = without_summary(make_classifier(kind, n_features, label, n_train=n_train).fit(train), frame.sparkSession)
     pred = model.transform(frame.filter(F.col("split") == "test"))
     return pred.select(key, F.col(label).alias("y"), F.col("prediction").cast("int").alias("pred"), positive_score(pred).alias("score"))
 

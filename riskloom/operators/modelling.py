@@ -114,7 +114,7 @@ def _balanced(train: DataFrame, label: str, key: str) -> DataFrame:
 
 
 def _spark_ml(estimator: Any, train: DataFrame, label: str) -> Predictor:
-    model = estimator.setFeaturesCol("_v").setLabelCol(label).fit(train.select(label, array_to_vector("x").alias("_v")))
+    model = ML.without_summary(estimator.setFeaturesCol("_v").setLabelCol(label).fit(train.select(label, array_to_vector("x").alias("_v"))), train.sparkSession)
 
     def predict(df: DataFrame) -> DataFrame:
         out = model.transform(df.withColumn("_v", array_to_vector("x")))
