@@ -107,33 +107,20 @@ def signatures(docs: DataFrame, tables: int = 16, rows: int = 2) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
-def _slots(ids: DataFrame, bits: int) -> bytes:
-    """A bitmap of 2**bits slots, set where a hash of an id falls: of fixed size, however many ids."""
+def _marks(ids: DataFrame, bits: int) -> DataFrame:
+    """(bucket, bits): a bitmap of 2**bits slots, set where a hash of an id falls, in rows of 4 KB; of fixed size, however many ids."""
     slot = F.pmod(F.xxhash64("id"), F.lit(1 << bits)) + 1
-    parts = ids.select(F.bitmap_bucket_number(slot).alias("bucket"), F.bitmap_bit_position(slot).alias("bit")).groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("bits"))
-    out = bytearray(1 << (bits - 3))
-    for row in parts.toLocalIterator():
-        at = (row["bucket"] - 1) * 4096
-        out[at : at + len(row["bits"])] = row["bits"]
-    return bytes(out)
+    parts = ids.select(F.bitmap_bucket_number(slot).alias("bucket"), F.bitmap_bit_position(slot).alias("bit"))
+    return materialise(parts.groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("bits")), "marks")
 
 
-def wanted_texts(docs: DataFrame, wanted: bytes, bits: int) -> DataFrame:
-    """(id, text) of the documents whose slot is set in ``wanted``; a few others may be among them."""
-    import pyspark.sql.types as T
-
-    schema = T.StructType([T.StructField("id", docs.schema["doc_id"].dataType), T.StructField("text", T.StringType())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mask = np.frombuffer(wanted, np.uint8)
-        for batch in in_slices(batches, 2048):
-            slot = batch.column(2).to_numpy()
-            batch = batch.filter(pa.array((mask[slot >> 3] >> (slot & 7).astype(np.uint8) & 1).astype(bool)))
-            if batch.num_rows:
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=schema.names)
-
-    slot = F.pmod(F.xxhash64("doc_id"), F.lit(1 << bits))
-    return docs.where("doc_id is not null").select("doc_id", "text", slot.alias("slot")).mapInArrow(run, schema)
+def wanted_texts(docs: DataFrame, marks: DataFrame, bits: int) -> DataFrame:
+    """(id, text) of the documents whose slot is set in ``marks``; a few others may be among them."""
+    slot = F.pmod(F.xxhash64("doc_id"), F.lit(1 << bits)) + 1
+    placed = docs.where("doc_id is not null").select(F.col("doc_id").alias("id"), "text", F.bitmap_bucket_number(slot).alias("bucket"), F.bitmap_bit_position(slot).alias("bit"))
+    # 2**bits bits in all, so 2 MB as set; texts never leave the JVM for it.
+    is_set = F.expr("(shiftright(CAST(conv(hex(substring(bits, CAST(bit DIV 8 AS INT) + 1, 1)), 16, 10) AS INT), CAST(bit % 8 AS INT)) & 1) = 1")
+    return placed.join(F.broadcast(marks), "bucket").where(is_set).select("id", "text")
 
 
 def _set_of(text: bytes | None) -> np.ndarray:
@@ -152,7 +139,7 @@ def verify(pairs: DataFrame, docs: DataFrame, sig: DataFrame, percent: int, bits
     near = pairs.join(side("a"), "a").join(side("b"), "b").where(F.least("na", "nb") * 100 >= F.lit(percent) * F.greatest("na", "nb"))
     # A pair at the threshold has SKETCH * least equal bytes on average; five standard deviations below are kept.
     near = materialise(near.where(_same_bytes() >= SKETCH * least - 5 * (SKETCH * least * (1 - least)) ** 0.5).select("a", "b").distinct(), "near-pairs")
-    wanted = _slots(near.select(F.col("a").alias("id")).union(near.select(F.col("b").alias("id"))), bits)
+    wanted = _marks(near.select(F.col("a").alias("id")).union(near.select(F.col("b").alias("id"))), bits)
     # Texts are moved, not sets: shuffles compress words, but not hashes.
     texts = wanted_texts(docs, wanted, bits)
     met = near.join(texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a").join(texts.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b")
@@ -208,7 +195,7 @@ def prefix_pairs(members: DataFrame, docs: DataFrame, percent: int, bits: int =
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], names=schema.names)
 
     members = materialise(members.distinct(), "large-keys")
-    found = wanted_texts(docs, _slots(members, bits), bits)
+    found = wanted_texts(docs, _marks(members, bits), bits)
     sets = materialise(found.join(members.select("id"), "id", "left_semi").select("id", "text").mapInArrow(to_sets, schema), "large-sets")
     # How often a shingle occurs is counted in a table of fixed size; any one order is right, rarest first is fast.
     counts = sets.select(F.explode("set").alias("x")).select(F.pmod("x", F.lit(slots)).alias("slot"))

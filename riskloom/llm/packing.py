@@ -218,8 +218,8 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-def packed_digest(docs: DataFrame) -> DataFrame:
-    pieces = pack_documents(docs, default_tokenizer())
+def packed_digest(docs: DataFrame, **options) -> DataFrame:
+    pieces = pack_documents(docs, default_tokenizer(), **options)
     return pieces.select("doc_id", "start", "length", F.crc32("input_ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
