@@ -1,4 +1,4 @@
-"""Models from preparation to report: folds, encoding, balancing, ten classifiers, their predictions, reports and grids.
+"""Models from preparation to report: folds, encoding, balancing, nine classifiers, their predictions, reports and grids.
 
 Preparation is fitted on training rows alone and applied to others as expressions, so a grid search fits it anew inside
 each fold.  Categories get their codes by an ordered scan over their distinct values, so no dictionary passes through
