@@ -37,9 +37,12 @@ ENDS = (b".", b"!", b"?")
 
 
 class WordEncoder:
-    """Token ids of texts by way of their distinct words, at most ``limit`` of which are remembered."""
+    """Token ids of texts by way of their distinct words, at most ``limit`` of which stay remembered after a call.
 
-    def __init__(self, path: str, limit: int = 900_000):
+    Beyond the limit, the half of it that most texts had stays; what is forgotten is encoded again when it is met.
+    """
+
+    def __init__(self, path: str, limit: int = 300_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -47,8 +50,8 @@ class WordEncoder:
         self.codes: dict[bytes, int] = {LINE: 0}
         self.start, self.size, self.ends = np.zeros(1024, np.int64), np.zeros(1024, np.int64), np.zeros(1024, bool)
         self.ends[0] = True
+        self.met = np.zeros(1024, np.int64)
         self.flat, self.used = np.zeros(4096, np.uint32), 0
-        self.base = 1, 0
 
     def _add(self, words: list[bytes]) -> None:
         codes = self.codes
@@ -64,7 +67,7 @@ class WordEncoder:
             found += e.ids
         total = len(found)
         while n + len(words) > len(self.start):
-            self.start, self.size, self.ends = (np.concatenate([a, np.zeros_like(a)]) for a in (self.start, self.size, self.ends))
+            self.start, self.size, self.ends, self.met = (np.concatenate([a, np.zeros_like(a)]) for a in (self.start, self.size, self.ends, self.met))
         while self.used + total > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
         self.flat[self.used : self.used + total] = np.array(found, np.uint32)
@@ -74,25 +77,40 @@ class WordEncoder:
         self.used += total
         codes.update(zip(words, range(n, n + len(words))))
 
-    def encode(self, texts: list[list[bytes]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """For each text, as words: its ids, and the places (ids before them) where a sentence or line ends."""
+    def _forget(self, left: int) -> None:
+        """Keep ``left`` words, those that most texts had, and the line's end; older meetings count half from now on."""
+        words = list(self.codes)  # in the order of their codes
+        met = self.met[: len(words)]
+        keep = np.union1d([0], np.argpartition(-met, min(left, len(words) - 1))[:left])
+        sizes = self.size[keep]
+        upto = np.cumsum(sizes)
+        self.flat = self.flat[np.repeat(self.start[keep] - (upto - sizes), sizes) + np.arange(int(upto[-1]))]
+        self.used = len(self.flat)
+        self.start, self.size, self.ends, self.met = upto - sizes, sizes, self.ends[keep], met[keep] // 2
+        self.codes = {words[k]: i for i, k in enumerate(keep.tolist())}
+        # An empty array would not grow by doubling.
+        self.flat = np.append(self.flat, np.zeros(4096, np.uint32))
+
+    def encode(self, texts: list[list[bytes]]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each text, as words: its ids, and the places (ids before them) where a sentence or line ends.
+
+        A list, no generator: what is done after the last text must be done even if nobody asks for more.
+        """
         new = list({w for words in texts for w in words if w not in self.codes})
-        # Words beyond the limit are known for this batch only; those met first are mostly the frequent ones.
-        base, used = len(self.codes), self.used
         if new:
             self._add(new)
+        out = []
         for words in texts:
             at = np.fromiter(map(self.codes.__getitem__, words), np.int64, len(words))
+            self.met[at] += 1
             sizes = self.size[at]
             upto = np.cumsum(sizes)
             total = int(upto[-1]) if len(at) else 0
             ids = self.flat[np.repeat(self.start[at] - (upto - sizes), sizes) + np.arange(total)]
-            yield ids, upto[self.ends[at]]
+            out.append((ids, upto[self.ends[at]]))
         if len(self.codes) > self.limit:
-            for w in new:
-                del self.codes[w]
-            self.used = used
-            assert len(self.codes) == base
+            self._forget(self.limit // 2)
+        return out
 
 
 def best_cuts(pos: np.ndarray, penalty: np.ndarray, seq_len: int) -> list[int]:
@@ -181,7 +199,7 @@ class Packer:
 
 def pack_documents(
     docs: DataFrame, tokenizer_path: str, end_id: int = 2, seq_len: int = 4096, block_tokens: int = 1 << 19,
-    sentence_penalty: float = 4.0, forced_penalty: float = 48.0, max_gap: int = 64, cached_words: int = 900_000,
+    sentence_penalty: float = 4.0, forced_penalty: float = 48.0, max_gap: int = 64, cached_words: int = 300_000,
 ) -> DataFrame:
     """Pieces of documents in sequences: doc_id, start, length, input_ids (unsigned little-endian 32-bit), doc_tokens, sequence_id, offset."""
     import pyspark.sql.types as T

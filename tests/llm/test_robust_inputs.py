@@ -6,7 +6,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from riskloom.llm import katz, pii, quality
+from riskloom.llm import katz, packing, pii, quality
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -51,3 +51,18 @@ def test_kept_documents_are_those_with_a_kept_verdict(spark, rows):
     assert kept.columns == docs.columns
     assert sorted(tuple(r) for r in kept.select("doc_id", "text").collect()) == sorted(tuple(r) for r in judged)
     assert kept.where("n_chars <> char_length(text)").count() == 0
+
+
+def test_packing_remembers_few_words_whoever_stops_asking():
+    path = packing.default_tokenizer()
+    encoder, plain = packing.WordEncoder(path, 40), packing.WordEncoder(path, 1 << 30)
+    texts = [[b"the", b"of", *(f"w{i * 31 % 997}x{k}.".encode() for k in range(9)), packing.LINE] for i in range(300)]
+    for start in range(0, len(texts), 7):
+        part = texts[start : start + 7]
+        for words, (ids, ends) in zip(part, encoder.encode(part)):
+            [(want, stops)] = plain.encode([words])
+            assert ids.tolist() == want.tolist() == encoder.tokenizer.encode(b" ".join(words[:-1]).decode(), add_special_tokens=False).ids
+            assert ends.tolist() == stops.tolist()
+        assert len(encoder.codes) <= 40
+        assert packing.LINE in encoder.codes and len(encoder.flat) < 1 << 14
+    assert {b"the", b"of"} <= set(encoder.codes)
