@@ -53,10 +53,14 @@ class WordEncoder:
         self.met = np.zeros(1024, np.int64)
         self.flat, self.used = np.zeros(4096, np.uint32), 0
 
-    def _add(self, words: list[bytes]) -> None:
-        codes = self.codes
-        n = len(codes)
-        # Words are encoded some at a time, joined by spaces; offsets tell whose each id is.
+    def _add(self, words: list[bytes], at_once: int = 4096) -> None:
+        """Encode and remember new words, few at a time: what the tokenizer tells of a token takes far more than its id."""
+        for i in range(0, len(words), at_once):
+            self._add_some(words[i : i + at_once])
+
+    def _add_some(self, words: list[bytes]) -> None:
+        n = len(self.codes)
+        # Words are encoded 64 at a time, joined by spaces; offsets tell whose each id is.
         texts = [w.decode() for w in words]
         groups = [texts[i : i + 64] for i in range(0, len(texts), 64)]
         found, sizes = [], np.zeros(len(words), np.int64)
@@ -75,7 +79,7 @@ class WordEncoder:
         self.start[n : n + len(words)] = self.used + np.cumsum(sizes) - sizes
         self.ends[n : n + len(words)] = [w.endswith(ENDS) for w in words]
         self.used += total
-        codes.update(zip(words, range(n, n + len(words))))
+        self.codes.update(zip(words, range(n, n + len(words))))
 
     def _forget(self, left: int) -> None:
         """Keep ``left`` words, those that most texts had, and the line's end; older meetings count half from now on."""
@@ -218,7 +222,7 @@ def pack_documents(
         def rows(pieces: list[tuple]) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(zip(*pieces), types)], names=schema.names)
 
-        for batch in in_slices(batches, 256):
+        for batch in in_slices(batches, 64):
             types = [batch.schema.field(0).type, pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
             texts = [(t or b"").replace(b"\n", b" \xff ").split() for t in byte_texts(batch.column(1))]
             for doc_id, (ids, ends) in zip(batch.column(0).to_pylist(), encoder.encode(texts)):
