@@ -13,7 +13,8 @@ left at a partition's end may be split into windows whose lengths are powers of
 where that costs less than padding it.
 
 Tokens of a text are those of its words: the tokenizer drops white space and no rule of it looks across
-ASCII white space, so distinct words are encoded once and remembered.
+ASCII white space, so distinct words are encoded once and remembered.  Words of printable ASCII and Latin letters are
+encoded by ``tiktoken`` from the same file's merges (``LatinWords``), all others by ``tokenizers``.
 
 Defined cases: null and empty texts are the end id alone; repeated rows are packed each; a document may
 span any number of windows; empty input gives no rows; only the id and text columns are read.
@@ -21,7 +22,9 @@ span any number of windows; empty input gives no rows; only the id and text colu
 
 from __future__ import annotations
 
+import json
 import os
+import re
 from collections import deque
 from collections.abc import Iterator
 
@@ -36,6 +39,88 @@ LINE = b"\xff"  # stands for a line's end among a text's words; never part of UT
 ENDS = (b".", b"!", b"?")
 
 
+# The rules of a tokenizer whose words LatinWords can encode.
+WORD_RULES = {
+    "normalizer": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}],
+    "pattern": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+",
+    "end_of_word_suffix": "</w>",
+}
+
+
+class LatinWords:
+    """Token ids of words of printable ASCII and the letters U+00C0 to U+017F, without the tokenizer's general machinery.
+
+    Composition changes nothing in that range, and lower case stays in it but for U+0130, which is left out.  A part's
+    end is a NUL character: the vocabulary's word ends become ranks with a NUL, and each byte's end precedes all
+    merges, as there.  Ranks tell merges apart by their result only; that gives the tokenizer's ids if every entry
+    of the vocabulary is encoded as itself, since then no two other neighbours that make it up are ever left
+    side by side (tested).  The character U+0001 stands between words.
+    """
+
+    fits = re.compile(r"[!-~\u00c0-\u012f\u0131-\u017f]+").fullmatch
+    parts = re.compile(r"('s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u017f]+|[0-9]|[^\sa-z\u00df-\u00f6\u00f8-\u017f0-9]+)")
+
+    def __init__(self, rules: dict):
+        import tiktoken
+
+        vocab, suffix = rules["model"]["vocab"], rules["model"]["end_of_word_suffix"]
+        self.added = [t["content"] for t in rules["added_tokens"]]
+        ranks = {piece: i for token, i in vocab.items() if token not in self.added for piece in [piece_bytes(token, suffix)]}
+        self.separator = ranks[b"\x01"]
+        self.encoding = tiktoken.Encoding("words", pat_str=r"[^\x00\x01]+\x00|\x01", mergeable_ranks=ranks, special_tokens={})
+
+    @classmethod
+    def of(cls, path: str) -> LatinWords | None:
+        """For the tokenizer file ``path``, or None if its rules are others."""
+        with open(path, encoding="utf-8") as f:
+            rules = json.load(f)
+        steps = (rules["normalizer"] or {}).get("normalizers"), (rules["pre_tokenizer"] or {}).get("pretokenizers") or [{}]
+        split = steps[1][0]
+        same = (
+            steps[0] == WORD_RULES["normalizer"]
+            and [s.get("type") for s in steps[1]] == ["Split", "ByteLevel"]
+            and (split["pattern"], split["behavior"], split["invert"]) == ({"Regex": WORD_RULES["pattern"]}, "Removed", True)
+            and (steps[1][1]["add_prefix_space"], steps[1][1]["use_regex"]) == (False, False)
+            and rules["model"]["type"] == "BPE"
+            and rules["model"]["end_of_word_suffix"] == WORD_RULES["end_of_word_suffix"]
+            and not any(rules["model"].get(k) for k in ("dropout", "continuing_subword_prefix", "ignore_merges"))
+        )
+        return cls(rules) if same else None
+
+    def takes(self, word: str) -> bool:
+        return self.fits(word) is not None and not ("<" in word and any(token in word for token in self.added))
+
+    def encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words, and how many each has."""
+        text = self.parts.sub("\\1\0", "\n".join(words).lower()).replace("\n", "\1") + "\1"
+        found = np.array(self.encoding.encode_ordinary(text), np.int64)
+        between = np.flatnonzero(found == self.separator)
+        return np.delete(found, between), np.diff(between, prepend=-1) - 1
+
+
+def piece_bytes(token: str, suffix: str) -> bytes:
+    """The bytes that a token of a byte-level vocabulary stands for; its word end becomes a NUL."""
+    ends = token.endswith(suffix)
+    body = token[: -len(suffix)] if ends else token
+    # Byte-level vocabularies show printable Latin-1 bytes as themselves and the others, in order, from U+0100 on.
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    place = {chr(b): b for b in shown} | {chr(0x100 + i): b for i, b in enumerate(sorted(set(range(256)) - set(shown)))}
+    return bytes(place[c] for c in body) + b"\0" * ends
+
+
+class WordCodes(dict):
+    """word -> its number from 0; a word met for the first time gets the next one and is noted as ``new``."""
+
+    def __init__(self, words: list[bytes]):
+        super().__init__(zip(words, range(len(words))))
+        self.new: list[bytes] = []
+
+    def __missing__(self, word: bytes) -> int:
+        code = self[word] = len(self)
+        self.new.append(word)
+        return code
+
+
 class WordEncoder:
     """Token ids of texts by way of their distinct words, at most ``limit`` of which stay remembered after a call.
 
@@ -44,42 +129,61 @@ class WordEncoder:
 
     def __init__(self, path: str, limit: int = 300_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
 
-        self.tokenizer, self.limit = Tokenizer.from_file(path), limit
-        self.codes: dict[bytes, int] = {LINE: 0}
+        self.path, self.limit, self.latin, self.whole = path, limit, LatinWords.of(path), None
+        self.codes = WordCodes([LINE])
         self.start, self.size, self.ends = np.zeros(1024, np.int64), np.zeros(1024, np.int64), np.zeros(1024, bool)
         self.ends[0] = True
         self.met = np.zeros(1024, np.int64)
-        self.flat, self.used = np.zeros(4096, np.uint32), 0
+        self.flat, self.used, self.known = np.zeros(4096, np.uint32), 0, 1
 
     def _add(self, words: list[bytes], at_once: int = 4096) -> None:
-        """Encode and remember new words, few at a time: what the tokenizer tells of a token takes far more than its id."""
+        """Encode new words, whose codes are the last ones, few at a time: what the tokenizer tells of a token takes far more than its id."""
         for i in range(0, len(words), at_once):
-            self._add_some(words[i : i + at_once])
-
-    def _add_some(self, words: list[bytes]) -> None:
-        n = len(self.codes)
+            some = words[i : i + at_once]
+            texts = [w.decode() for w in some]
+            whole = [k for k, w in enumerate(texts) if self.latin is None or not self.latin.takes(w)]
+            if not whole:
+                self._remember(some, *self.latin.encode(texts))
+            elif len(whole) == len(texts):
+                self._remember(some, *self._encode_any(texts))
+            else:
+                fit = np.setdiff1d(np.arange(len(texts)), whole).tolist()
+                parts = self.latin.encode([texts[k] for k in fit]), self._encode_any([texts[k] for k in whole])
+                order = np.argsort(fit + whole)
+                found, sizes = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
+                start = np.cumsum(sizes) - sizes
+                start, sizes = start[order], sizes[order]
+                upto = np.cumsum(sizes)
+                self._remember(some, found[np.repeat(start - (upto - sizes), sizes) + np.arange(len(found))], sizes)
+
+    def _encode_any(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words, and how many each has, by the tokenizer itself."""
+        if self.whole is None:
+            from tokenizers import Tokenizer
+
+            self.whole = Tokenizer.from_file(self.path)
         # Words are encoded 64 at a time, joined by spaces; offsets tell whose each id is.
-        texts = [w.decode() for w in words]
-        groups = [texts[i : i + 64] for i in range(0, len(texts), 64)]
+        groups = [words[i : i + 64] for i in range(0, len(words), 64)]
         found, sizes = [], np.zeros(len(words), np.int64)
-        for i, (group, e) in enumerate(zip(groups, self.tokenizer.encode_batch([" ".join(g) for g in groups], add_special_tokens=False))):
+        for i, (group, e) in enumerate(zip(groups, self.whole.encode_batch([" ".join(g) for g in groups], add_special_tokens=False))):
             begin = np.cumsum([0] + [len(x) + 1 for x in group])
             at = np.fromiter((o[0] for o in e.offsets), np.int64, len(e.ids))
             sizes[64 * i : 64 * i + len(group)] = np.diff(np.searchsorted(at, begin))
             found += e.ids
-        total = len(found)
+        return np.array(found, np.int64), sizes
+
+    def _remember(self, words: list[bytes], found: np.ndarray, sizes: np.ndarray) -> None:
+        n, total = self.known, len(found)
         while n + len(words) > len(self.start):
             self.start, self.size, self.ends, self.met = (np.concatenate([a, np.zeros_like(a)]) for a in (self.start, self.size, self.ends, self.met))
         while self.used + total > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        self.flat[self.used : self.used + total] = np.array(found, np.uint32)
+        self.flat[self.used : self.used + total] = found
         self.size[n : n + len(words)] = sizes
         self.start[n : n + len(words)] = self.used + np.cumsum(sizes) - sizes
         self.ends[n : n + len(words)] = [w.endswith(ENDS) for w in words]
-        self.used += total
-        self.codes.update(zip(words, range(n, n + len(words))))
+        self.used, self.known = self.used + total, n + len(words)
 
     def _forget(self, left: int) -> None:
         """Keep ``left`` words, those that most texts had, and the line's end; older meetings count half from now on."""
@@ -91,7 +195,7 @@ class WordEncoder:
         self.flat = self.flat[np.repeat(self.start[keep] - (upto - sizes), sizes) + np.arange(int(upto[-1]))]
         self.used = len(self.flat)
         self.start, self.size, self.ends, self.met = upto - sizes, sizes, self.ends[keep], met[keep] // 2
-        self.codes = {words[k]: i for i, k in enumerate(keep.tolist())}
+        self.codes, self.known = WordCodes([words[k] for k in keep.tolist()]), len(keep)
         # An empty array would not grow by doubling.
         self.flat = np.append(self.flat, np.zeros(4096, np.uint32))
 
@@ -100,12 +204,12 @@ class WordEncoder:
 
         A list, no generator: what is done after the last text must be done even if nobody asks for more.
         """
-        new = list({w for words in texts for w in words if w not in self.codes})
-        if new:
-            self._add(new)
+        places = [np.fromiter(map(self.codes.__getitem__, words), np.int64, len(words)) for words in texts]
+        if self.codes.new:
+            self._add(self.codes.new)
+            self.codes.new = []
         out = []
-        for words in texts:
-            at = np.fromiter(map(self.codes.__getitem__, words), np.int64, len(words))
+        for at in places:
             self.met[at] += 1
             sizes = self.size[at]
             upto = np.cumsum(sizes)

@@ -214,3 +214,37 @@ def test_queries_run(spark):
     assert QUERIES["op12_prefix_trie"](spark, SMALL).where("depth = 0").count() == 1
     ranked = QUERIES["op13_lexical"](spark, SMALL)
     assert ranked.columns == ["item_id", "rank", "doc_id", "score"] and ranked.count() > 0
+
+
+def test_latin_words_get_the_tokenizers_ids():
+    """Each entry of the vocabulary is encoded as itself by its merges, and words of all kinds get the tokenizer's ids."""
+    import json
+
+    from tokenizers import Tokenizer
+
+    from riskloom.llm.packing import LatinWords, WordEncoder, default_tokenizer
+
+    path = default_tokenizer()
+    with open(path, encoding="utf-8") as f:
+        model = json.load(f)["model"]
+    rank = {tuple(pair): k for k, pair in enumerate(model["merges"])}
+    assert len({a + b for a, b in rank}) == len(rank)
+    for (a, b), k in rank.items():
+        assert model["vocab"][a + b] == 512 + k  # ranks follow the order of the merges
+        body, end = ((a + b)[:-4], "</w>") if b.endswith("</w>") else (a + b, "")
+        parts = [*body[:-1], body[-1] + end]
+        while len(parts) > 1:
+            least = min(range(len(parts) - 1), key=lambda i: rank.get((parts[i], parts[i + 1]), len(rank)))
+            assert (parts[least], parts[least + 1]) in rank
+            parts[least : least + 2] = [parts[least] + parts[least + 1]]
+    tokenizer, latin = Tokenizer.from_file(path), LatinWords.of(path)
+    odd = ["don't", "I'LL", "'Ve's", "x²", "a½b", "İx", "ſs", "Ÿ", "ŉ", "<|endoftext|>", "a<|startoftext|>b", "<|x", "a\x01b", "\0", "a\0", "éa", "ΑΣ", "x\x1cy", "日本", "¿qué", "×÷", "!!!'s...", "a" * 500, "''s'", "_a_1", "１２", "\x85"]
+    chars = [chr(c) for c in [*range(0x21, 0x7F), *range(0xC0, 0x180)] if c != 0x130]
+    words = [a + b + c for a in chars[::3] for b in "sD'é9-" for c in ("", "a", ".")] + chars
+    assert all(map(latin.takes, words)) and not latin.takes("İx") and not latin.takes("a<|startoftext|>b")
+    mixed = [w for pair in zip(words, odd * (len(words) // len(odd) + 1)) for w in pair]
+    encoder = WordEncoder(path, limit=400)  # words are forgotten and met again
+    for some in (mixed, mixed[::-1], odd):
+        for i in range(0, len(some), 300):
+            for word, (ids, _) in zip(some[i : i + 300], encoder.encode([[w.encode()] for w in some[i : i + 300]])):
+                assert ids.tolist() == tokenizer.encode(word, add_special_tokens=False).ids, word
