@@ -27,6 +27,7 @@ import os
 import re
 from collections import deque
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -130,13 +131,20 @@ class WordEncoder:
     def __init__(self, path: str, limit: int = 300_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
 
-        self.path, self.limit, self.latin, self.whole = path, limit, LatinWords.of(path), None
+        self.path, self.limit, self.latin = path, limit, LatinWords.of(path)
         self.codes = WordCodes([LINE])
         self.start, self.size, self.ends = np.zeros(1024, np.int64), np.zeros(1024, np.int64), np.zeros(1024, bool)
         self.ends[0] = True
         self.met = np.zeros(1024, np.int64)
         self.flat, self.used, self.known = np.zeros(4096, np.uint32), 0, 1
 
+    @cached_property
+    def tokenizer(self):
+        """The whole tokenizer, read when first needed."""
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.path)
+
     def _add(self, words: list[bytes], at_once: int = 4096) -> None:
         """Encode new words, whose codes are the last ones, few at a time: what the tokenizer tells of a token takes far more than its id."""
         for i in range(0, len(words), at_once):
@@ -159,14 +167,10 @@ class WordEncoder:
 
     def _encode_any(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all words, and how many each has, by the tokenizer itself."""
-        if self.whole is None:
-            from tokenizers import Tokenizer
-
-            self.whole = Tokenizer.from_file(self.path)
         # Words are encoded 64 at a time, joined by spaces; offsets tell whose each id is.
         groups = [words[i : i + 64] for i in range(0, len(words), 64)]
         found, sizes = [], np.zeros(len(words), np.int64)
-        for i, (group, e) in enumerate(zip(groups, self.whole.encode_batch([" ".join(g) for g in groups], add_special_tokens=False))):
+        for i, (group, e) in enumerate(zip(groups, self.tokenizer.encode_batch([" ".join(g) for g in groups], add_special_tokens=False))):
             begin = np.cumsum([0] + [len(x) + 1 for x in group])
             at = np.fromiter((o[0] for o in e.offsets), np.int64, len(e.ids))
             sizes[64 * i : 64 * i + len(group)] = np.diff(np.searchsorted(at, begin))
