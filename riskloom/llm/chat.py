@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import in_slices, read_table
+from .common import in_slices, materialise, read_table
 
 ROLES = ("system", "user", "assistant")
 MARKERS = {"user": ("user", "human", "question", "q", "customer"), "assistant": ("assistant", "ai", "bot", "answer", "a", "agent"), "system": ("system", "instructions")}
@@ -128,8 +128,11 @@ def turns_of(text: str | None, model: Hmm) -> list[tuple[str, str, int]]:
     return [(role, f"<|{role}|>\n" + "\n".join(body), len(body)) for role, body in turns]
 
 
-def parse_transcripts(texts: DataFrame, model: Hmm) -> DataFrame:
-    """``texts`` (transcript, ...) -> a row for each turn: the other columns, turn_no, role, rendered, n_lines."""
+def parse_transcripts(texts: DataFrame, model: Hmm, clashing: str = "input") -> DataFrame:
+    """``texts`` (transcript, ...) -> a row for each turn: the other columns, turn_no, role, rendered, n_lines.
+
+    Input columns that have one of these four names come as a struct named ``clashing``, a name ``texts`` does not have.
+    """
     import pyspark.sql.types as T
 
     others = [c for c in texts.columns if c != "transcript"]
@@ -147,7 +150,12 @@ def parse_transcripts(texts: DataFrame, model: Hmm) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int64())), *(pa.array(c, t) for c, t in zip(columns, types))], names=inner.names)
 
     packed = texts.select(F.struct(*[F.col(f"`{c}`") for c in others]).alias("row"), "transcript")
-    return packed.mapInArrow(run, inner).select("row.*", "turn_no", "role", "rendered", "n_lines")
+    turn = ["turn_no", "role", "rendered", "n_lines"]
+    plain = [F.col(f"row.`{c}`").alias(c) for c in others if c not in turn]
+    taken = [F.col(f"row.`{c}`").alias(c) for c in others if c in turn]
+    if taken and clashing in [*others, *turn]:
+        raise ValueError(f"{clashing!r} is a column already; choose another name for the struct of clashing columns")
+    return packed.mapInArrow(run, inner).select(*plain, *([F.struct(*taken).alias(clashing)] if taken else []), *turn)
 
 
 def transcripts(turns: DataFrame, segment: int = 256, marked: int = 75, spaced: int = 80) -> DataFrame:
@@ -188,7 +196,10 @@ def transcripts(turns: DataFrame, segment: int = 256, marked: int = 75, spaced:
 
 
 def op8_chat_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nine tenths of the conversations (by a hash of conv_id) train; all are parsed, from their transcripts alone."""
-    made = transcripts(read_table(spark, sf_dir, "conversations"))
+    """Nine tenths of the conversations (by a hash of conv_id) train; all are parsed, from their transcripts alone.
+
+    The transcripts are written once, so the turns are shuffled once for both.
+    """
+    made = materialise(transcripts(read_table(spark, sf_dir, "conversations")), "transcripts")
     model = train(made.where(F.pmod(F.xxhash64("conv_id"), F.lit(10)) != 0))
     return parse_transcripts(made.select("conv_id", "segment", "transcript"), model)

@@ -6,7 +6,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from riskloom.llm import katz, packing, pii, quality
+from riskloom.llm import chat, katz, packing, pii, quality
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -66,3 +66,17 @@ def test_packing_remembers_few_words_whoever_stops_asking():
         assert len(encoder.codes) <= 40
         assert packing.LINE in encoder.codes and len(encoder.flat) < 1 << 14
     assert {b"the", b"of"} <= set(encoder.codes)
+
+
+def test_chat_input_columns_with_clashing_names_come_in_a_struct(spark):
+    turns = spark.createDataFrame([(1, t, r, f"words {t} of {r}.") for t, r in enumerate(["user", "assistant"] * 4)], "conv_id long, turn long, role string, text string")
+    model = chat.train(chat.transcripts(turns))
+    texts = spark.createDataFrame([(1, "User: hello\nAssistant: good day", "mine", 7)], "conv_id long, transcript string, role string, turn_no int")
+    out = chat.parse_transcripts(texts, model)
+    assert out.columns == ["conv_id", "input", "turn_no", "role", "rendered", "n_lines"]
+    rows = out.orderBy("turn_no").collect()
+    assert rows and all(r["input"].asDict() == {"role": "mine", "turn_no": 7} for r in rows) and [r["turn_no"] for r in rows] == list(range(len(rows)))
+    plain = chat.parse_transcripts(texts.select("conv_id", "transcript"), model).orderBy("turn_no")
+    assert [r["rendered"] for r in rows] == [r["rendered"] for r in plain.collect()]
+    with pytest.raises(ValueError):
+        chat.parse_transcripts(texts.withColumnRenamed("conv_id", "input"), model)
