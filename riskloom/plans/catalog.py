@@ -419,6 +419,19 @@ def q_column_dictionary(spark, sf_dir):
     return round_doubles(nulls.join(F.broadcast(desc), "feature", "left"))
 
 
+@register("column_dictionary_file", O.q_column_dictionary_file)
+def q_column_dictionary_file(spark, sf_dir):
+    """Null shares of the assembled columns with all descriptions of a dictionary file, which is written from the registry: its descriptions twice, and each feature's name in words."""
+    from ..sources.dictionary import describe_columns, read_dictionary
+
+    nulls = P.null_percentages(_assembled(spark, sf_dir))
+    known = R.registry_to_dataframe(spark).select(F.lit("registry").alias("Table"), F.col("feature_name").alias("Row"), F.col("business_description").alias("Description"))
+    words = known.select(F.lit("names").alias("Table"), "Row", F.translate("Row", "_", " ").alias("Description"))
+    path = _scratch(spark, "dictionary-csv")
+    known.unionByName(known.withColumn("Table", F.lit("again"))).unionByName(words).write.option("header", True).option("escape", '"').csv(path)
+    return round_doubles(describe_columns(nulls, read_dictionary(spark, path)))
+
+
 @register("hash_sample", O.q_hash_sample)
 def q_hash_sample(spark, sf_dir):
     return round_doubles(ST.hash_sample(td.bureau(td.TestTables(spark, sf_dir)), "SK_ID_BUREAU", 5000, 42))

@@ -819,6 +819,18 @@ def q_column_dictionary() -> str:
                           _final([("feature", "s"), ("null_pct", "d"), ("description", "s")], "d"))
 
 
+def q_column_dictionary_file() -> str:
+    from ..operators.registry import FEATURE_SPECS
+
+    desc = "\nUNION ALL\n".join(
+        f"SELECT '{s.feature_name}' AS feature, '{s.business_description}' AS description" for s in FEATURE_SPECS
+    )
+    d = """SELECT np.feature, np.null_pct, dd.description FROM np LEFT JOIN (
+        SELECT feature, description FROM dsc UNION SELECT feature, replace(feature, '_', ' ') FROM dsc) dd ON np.feature = dd.feature"""
+    return with_assembled([_rounded_master(), ("np", _null_pct_sql()), ("dsc", desc), ("d", d)],
+                          _final([("feature", "s"), ("null_pct", "d"), ("description", "s")], "d"))
+
+
 def q_hash_sample() -> str:
     body = "SELECT * FROM v_bureau ORDER BY md5(CAST(SK_ID_BUREAU AS VARCHAR) || ':42') LIMIT 5000"
     return with_views(_final(BUREAU_RAW_COLS, "hs"), "v_bureau", extra=[("hs", body)])

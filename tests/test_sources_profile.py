@@ -74,3 +74,18 @@ def test_registry_schema(spark):
     reg = R.registry_to_dataframe(spark)
     assert reg.columns == [f.name for f in R.REGISTRY_SCHEMA.fields] and reg.count() == 23
     assert reg.filter(F.col("temporal_safety")).count() == 23
+
+
+def test_dictionary_file_keeps_every_description(spark, tmp_path):
+    from riskloom.sources.dictionary import describe_columns, read_dictionary
+
+    lines = ["Table,Row,Description", 'a.csv,X,"one, ""quoted"""', 'b.csv,X,"two\nlines"', 'c.csv,X,"one, ""quoted"""', "a.csv,Y,café", "a.csv,,nobody", "a.csv,Z,"]
+    columns = spark.createDataFrame([("X", 1), ("Y", 2), ("Z", 3), ("W", 4)], "feature string, at int")
+    for encoding in ("utf-8", "latin-1"):
+        path = tmp_path / f"{encoding}.csv"
+        path.write_bytes("\n".join(lines).encode(encoding))
+        dictionary = read_dictionary(spark, f"file://{path}")
+        got = sorted((r["feature"], r["at"], r["description"] or "") for r in describe_columns(columns, dictionary).collect())
+        assert got == [("W", 4, ""), ("X", 1, 'one, "quoted"'), ("X", 1, "two\nlines"), ("Y", 2, "café"), ("Z", 3, "")]
+    assert describe_columns(columns.limit(0), dictionary).count() == 0
+    assert describe_columns(columns, dictionary.limit(0)).count() == 4
