@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from riskloom.operators import boosting as B
 from riskloom.operators import hinge as H
 from riskloom.operators import network as N
-from riskloom.operators.neighbours import nearest_neighbours
+from riskloom.operators.neighbours import _closest, nearest_neighbours
 from riskloom.operators.oversampling import oversample, synthetic_rows
 
 
@@ -43,6 +43,17 @@ def test_neighbours_equal_brute_force(spark, kind):
     assert nearest_neighbours(df.where("id = -1"), "id", "v", 5).count() == 0
 
 
+def test_rings_answer_within_the_ball_only():
+    rng = np.random.default_rng(5)
+    points, ids = rng.normal(size=(300, 4)).round(1), np.arange(300)
+    want = np.sqrt(((points[:, None] - points[None]) ** 2).sum(axis=2))
+    ball = np.array([0.0, 0.65, 1.05, np.inf] * 75)  # no distance of tenths is on the edge
+    for q, found in enumerate(_closest(points, ids, points, ids, 5, ball)):
+        near = sorted((d, i) for i, d in enumerate(want[q]) if i != q and d <= ball[q] + 1e-9)[:5]
+        assert len(found) == len(near) and np.allclose([d for d, _ in found], [d for d, _ in near])
+    assert [len(f) for f in _closest(points[:1], ids[:1], points, ids, 5)] == [5]
+
+
 def test_neighbours_form_few_pairs(spark):
     df = spark.range(6000).select(F.col("id"), F.array(*[(F.pmod(F.xxhash64("id", F.lit(i)), F.lit(1_000_000)) / 1e6) for i in range(2)]).alias("v"))
     from riskloom.operators import neighbours as NB
