@@ -54,6 +54,21 @@ def test_rings_answer_within_the_ball_only():
     assert [len(f) for f in _closest(points[:1], ids[:1], points, ids, 5)] == [5]
 
 
+def test_only_the_nearest_are_summed_column_by_column(monkeypatch):
+    from riskloom.operators import neighbours as NB
+
+    rng = np.random.default_rng(6)
+    for shift, scale in ((0.0, 1.0), (1e6, 1.0), (0.0, 1e200), (3.0, 1e-9)):  # rounding of the product, and its overflow
+        points, ids = shift + scale * rng.integers(0, 4, (200, 5)), rng.permutation(200)
+        with np.errstate(over="ignore"):
+            want = NB._distances(points, points)
+        with monkeypatch.context() as m:
+            m.setattr(NB, "_distances", None)  # all pairs of a ring were summed by it
+            found = _closest(points, ids, points, ids, 5)
+        for q, near in enumerate(found):
+            assert near == sorted((d, i) for d, i in zip(want[q].tolist(), ids.tolist()) if i != ids[q] and d < np.inf)[:5]
+
+
 def test_neighbours_form_few_pairs(spark):
     df = spark.range(6000).select(F.col("id"), F.array(*[(F.pmod(F.xxhash64("id", F.lit(i)), F.lit(1_000_000)) / 1e6) for i in range(2)]).alias("v"))
     from riskloom.operators import neighbours as NB
@@ -157,6 +172,15 @@ def test_boosting_equals_brute_force_search(spark):
         B.fit_boosting(df.where("TARGET = 1"), ["a"], edges=[[0.0]])
 
 
+def test_boosting_makes_no_pass_for_the_deepest_leaves(spark, monkeypatch):
+    df = spark.range(300).select(F.pmod(F.xxhash64("id"), F.lit(2)).cast("int").alias("TARGET"), *[F.pmod(F.xxhash64("id", F.lit(i)), F.lit(50)).cast("double").alias(c) for i, c in enumerate("ab", 1)])
+    passes, own = [], B._histograms
+    monkeypatch.setattr(B, "_histograms", lambda *args: passes.append(args[3]) or own(*args))
+    model = B.fit_boosting(df, ["a", "b"], params=B.BoostingParams(trees=2, max_depth=2, num_leaves=4))
+    assert len(model.trees) == 2 and passes == [0, 1, 0, 1]
+    assert all(len(t.values) == len(t.splits) + 1 and any(v for v in t.values.values()) for t in model.trees)
+
+
 def test_network_gradient_equals_differences_and_learns(spark):
     rng = np.random.default_rng(1)
     layers = [(a, rng.normal(size=len(b))) for a, b in N.initial_layers(4, (5, 3), 7)]
