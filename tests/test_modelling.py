@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from riskloom.operators import ml as ML
 from riskloom.operators import modelling as MO
 from riskloom.operators import profile as P
 from riskloom.operators import sketches as SK
@@ -82,6 +83,21 @@ def test_grid_reports_every_point_on_every_fold(frame):
     assert len(best) == 1 and max(rows, key=lambda r: r.mean_recall).mean_recall == next(r for r in rows if r.best).mean_recall
 
 
+@pytest.mark.parametrize("kind, grid", [("hinge_sgd", [{"alpha": a, "rounds": 2} for a in (0.001, 0.01)]), ("boosted_trees", [{"trees": 1, "max_depth": d} for d in (1, 2)])])
+def test_grid_points_share_the_balanced_rows_of_a_fold(frame, monkeypatch, kind, grid):
+    made, own = [], MO._balanced
+    monkeypatch.setattr(MO, "_balanced", lambda *args: made.append(1) or own(*args))
+    rows = MO.grid_scores(frame, kind, grid, ["a", "b"], ["c"], folds=2).collect()
+    assert len(rows) == 4 and len(made) == 2
+
+
+def test_preparation_is_fitted_on_a_written_split(frame, monkeypatch):
+    seen, own = [], ML.fit_medians
+    monkeypatch.setattr(ML, "fit_medians", lambda train, *args: seen.append(train._jdf.queryExecution().executedPlan().toString()) or own(train, *args))
+    out, _ = ML.prepare_model_frame(frame, ["a", "b"], ["c"])
+    assert out.count() == frame.count() and "Window" not in seen[0]
+
+
 def test_sketches_merge_to_the_whole(spark):
     df = spark.range(60_000).select("id", (F.pmod(F.xxhash64("id"), F.lit(5000)) / 7).alias("u"), F.when(F.col("id") % 4 > 0, F.exp(F.pmod(F.xxhash64("id", F.lit(1)), F.lit(1000)) / 200)).alias("v"), F.lit(None).cast("double").alias("none"), F.when(F.col("id") % 2 == 0, F.lit(float("nan"))).otherwise(F.lit(-0.0)).alias("z")).repartition(6)
     columns = ["u", "v", "none", "z"]
