@@ -89,6 +89,43 @@ def test_neighbours_form_few_pairs(spark):
     assert seen[0] < 6000 * 6
 
 
+def _marked(rng, n, numbers=6):
+    """Vectors of normal numbers and two groups of marks, of which one each is set."""
+    return np.column_stack([rng.normal(size=(n, numbers)), np.eye(5)[rng.integers(0, 5, n)], np.eye(7)[rng.integers(0, 7, n)]])
+
+
+def test_points_of_many_columns_ask_a_bounded_number_of_rings(spark, monkeypatch):
+    from riskloom.operators import neighbours as NB
+
+    points, seen, own = _marked(np.random.default_rng(9), 1200), [], NB._answers
+    monkeypatch.setattr(NB, "_answers", lambda asked, *args: seen.append(asked.count()) or own(asked, *args))
+    df = spark.createDataFrame([(i, p.tolist()) for i, p in enumerate(points)], "id long, v array<double>").repartition(3)
+    got = {r.key: [n.id for n in r.neighbours] for r in nearest_neighbours(df, "id", "v", 5, ring_rows=16, part_rows=100).collect()}
+    want = np.sqrt(((points[:, None] - points[None]) ** 2).sum(axis=2))
+    np.fill_diagonal(want, np.inf)
+    assert got == {i: np.argsort(row, kind="stable")[:5].tolist() for i, row in enumerate(want)}
+    # 16 rings of 75 points, though 75 rings of 16 were allowed, nearly all of which lie within reach.
+    assert seen[0] <= 15 * 1200
+
+
+def test_leaves_out_of_reach_are_not_compared(monkeypatch):
+    from riskloom.operators import neighbours as NB
+
+    rng = np.random.default_rng(3)
+    points, ids = _marked(rng, 3040), rng.permutation(3040)
+    points[:40, :6] *= 30  # far from all others
+    want = np.sqrt(((points[:, None] - points[None, :, :]) ** 2).sum(axis=2))
+    pairs, plain = [], NB._closest_pairs
+    monkeypatch.setattr(NB, "_closest_pairs", lambda q, own, x, i, ready, k, ball, some=None: pairs.append(len(q) * len(x if some is None else some)) or plain(q, own, x, i, ready, k, ball, some))
+    alone = NB._closest_of_leaves(points, ids, points, ids, 5).to_pylist()
+    ball = np.array([f[-1]["distance"] for f in alone])
+    asked = NB._closest_of_leaves(points, ids, points, ids, 5, ball).to_pylist()
+    for q, (one, two) in enumerate(zip(alone, asked)):
+        order = sorted((d, i) for d, i in zip(want[q].tolist(), ids.tolist()) if i != ids[q])[:5]
+        assert [n["id"] for n in one] == [n["id"] for n in two] == [i for _, i in order]
+    assert sum(pairs) < 0.8 * 2 * len(points) ** 2
+
+
 def test_oversampling_lies_on_segments_and_evens_the_classes(spark):
     rng = random.Random(4)
     rows = [(i, 1 if i % 7 == 0 else 0, rng.random(), rng.random(), f"c{i % 3}") for i in range(300)]
