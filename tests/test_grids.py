@@ -24,7 +24,7 @@ def test_grids_learn_from_every_row(spark, monkeypatch, kind):
     assert _asked(spark, monkeypatch, kind)[0] == list(range(40))
 
 
-@pytest.mark.parametrize("kind, size, name, values", [("boosted_trees", 4, "trees", {100, 200}), ("leafwise_trees", 8, "trees", {100}), ("logreg_l2", 2, "C", {0.1, 1.0})])
+@pytest.mark.parametrize("kind, size, name, values", [("boosted_trees", 4, "trees", {100, 200}), ("leafwise_trees", 8, "trees", {100}), ("random_forest", 2, "trees", {200}), ("logreg_l2", 2, "C", {0.1, 1.0})])
 def test_grids_have_the_values_of_the_study(spark, monkeypatch, kind, size, name, values):
     grid = _asked(spark, monkeypatch, kind)[1]
     assert len(grid) == size and {point[name] for point in grid} == values
