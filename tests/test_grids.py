@@ -5,6 +5,7 @@ import pytest
 
 from conftest import SMALL
 from riskloom.operators import boosting as B
+from riskloom.operators import hinge as H
 from riskloom.operators import modelling as MO
 from riskloom.plans import catalog as C
 
@@ -24,7 +25,7 @@ def test_grids_learn_from_every_row(spark, monkeypatch, kind):
     assert _asked(spark, monkeypatch, kind)[0] == list(range(40))
 
 
-@pytest.mark.parametrize("kind, size, name, values", [("boosted_trees", 4, "trees", {100, 200}), ("leafwise_trees", 8, "trees", {100}), ("random_forest", 2, "trees", {200}), ("logreg_l2", 2, "C", {0.1, 1.0})])
+@pytest.mark.parametrize("kind, size, name, values", [("boosted_trees", 4, "trees", {100, 200}), ("leafwise_trees", 8, "trees", {100}), ("random_forest", 2, "trees", {200}), ("hinge_sgd", 6, "rounds", {1000}), ("logreg_l2", 2, "C", {0.1, 1.0})])
 def test_grids_have_the_values_of_the_study(spark, monkeypatch, kind, size, name, values):
     grid = _asked(spark, monkeypatch, kind)[1]
     assert len(grid) == size and {point[name] for point in grid} == values
@@ -70,7 +71,24 @@ def test_shared_fits_score_as_their_own(spark):
     rng = np.random.default_rng(7)
     rows = [(i, int(a + b > 0.5), float(a), float(b), "xyz"[i % 3]) for i, (a, b) in enumerate(rng.normal(size=(240, 2)))]
     df = spark.createDataFrame(rows, "SK_ID_CURR long, TARGET int, a double, b double, c string").repartition(2)
-    grid = [{"trees": t, "max_depth": 2, "learning_rate": 0.3} for t in (1, 3)]
-    shared = [(r.params, r.fold, r.recall) for r in MO.grid_scores(df, "boosted_trees", grid, ["a", "b"], ["c"], folds=2).collect()]
-    alone = [(r.params, r.fold, r.recall) for point in grid for r in MO.grid_scores(df, "boosted_trees", [point], ["a", "b"], ["c"], folds=2).collect()]
+    grid = [{"trees": t, "max_depth": 2, "num_leaves": n, "learning_rate": 0.3} for t, n in ((1, 4), (3, 5))]
+    shared = [(r.params, r.fold, r.recall) for r in MO.grid_scores(df, "leafwise_trees", grid, ["a", "b"], ["c"], folds=2).collect()]
+    alone = [(r.params, r.fold, r.recall) for point in grid for r in MO.grid_scores(df, "leafwise_trees", [point], ["a", "b"], ["c"], folds=2).collect()]
     assert shared == alone
+
+
+def test_hinge_models_of_a_grid_take_one_job_a_round(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(300, 4))
+    df = spark.createDataFrame([(i, v.tolist(), int(v[0] - v[1] > 0.4)) for i, v in enumerate(x)], "SK_ID_CURR long, x array<double>, TARGET int").repartition(1)  # the order of several files differs from run to run
+    points = [H.HingeParams(alpha=a, l1_ratio=r, rounds=n) for a, r, n in ((0.001, 0.0, 4), (0.01, 0.15, 7), (0.1, 1.0, 0))]
+    jobs, own = [], H._summed
+    monkeypatch.setattr(H, "_summed", lambda *args: jobs.append(1) or own(*args))
+    together = H.fit_hinges(df, "x", "TARGET", "SK_ID_CURR", points)
+    assert len(jobs) == 8  # seven rounds, the last of which is judged in a pass of its own
+    for model, params in zip(together, points):
+        alone = H.fit_hinge(df, "x", params=params)
+        assert np.allclose(model.weights, alone.weights) and abs(model.objective - alone.objective) < 1e-12
+    assert not together[2].weights.any() and together[2].objective == 1.0
+    with pytest.raises(ValueError):
+        H.fit_hinges(df, "x", "TARGET", "SK_ID_CURR", [points[0], H.HingeParams(seed=1)])
